@@ -1,0 +1,4 @@
+"""Every operator on the driver tables, with its comparison SQL."""
+
+from bookfold.showcase import refined, scalars  # noqa: F401  (registers the queries)
+from bookfold.showcase.registry import ORACLE, QUERIES  # noqa: F401
