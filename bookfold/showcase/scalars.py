@@ -52,7 +52,7 @@ _LABELS = (
     f"WHEN 0 THEN '（' || translate(p_name, '{_NARROW}', '{_WIDE}') || '）' "
     "WHEN 1 THEN upper(p_name) || '_' || p_type ELSE p_brand || ' - (' || p_type || ')・' END AS label FROM {part}"
 )
-_MONTH_NAMES = (
+MONTH_NAMES = (
     "SELECT o_orderkey, CASE o_orderkey % 6 "
     "WHEN 0 THEN '電子出版確報明細データICE_' || substr(CAST(o_orderdate AS STRING), 1, 4) || '年' "
     "|| substr(CAST(o_orderdate AS STRING), 6, 2) || '月反映版.xlsx' "
@@ -112,16 +112,16 @@ def normalize_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT o_orderkey, nullif(regexp_extract(name, '(20[0-9]{2})年?(0[1-9]|1[0-2])', 1) "
-    f"|| regexp_extract(name, '(20[0-9]{{2}})年?(0[1-9]|1[0-2])', 2), '') AS month FROM ({_MONTH_NAMES})"
+    f"|| regexp_extract(name, '(20[0-9]{{2}})年?(0[1-9]|1[0-2])', 2), '') AS month FROM ({MONTH_NAMES})"
 )
 def month_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir, _MONTH_NAMES).select("o_orderkey", month_in_name("name").alias("month"))
+    return derived(spark, sf_dir, MONTH_NAMES).select("o_orderkey", month_in_name("name").alias("month"))
 
 
 @query(
     "SELECT o_orderkey, CASE "
     + " ".join(f"WHEN regexp_full_match(name, {sql_text('(?i)' + e.name_pattern)}) THEN '{k}'" for k, e in EXTRACTS.items())
-    + f" END AS source_kind FROM ({_MONTH_NAMES})"
+    + f" END AS source_kind FROM ({MONTH_NAMES})"
 )
 def classify_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir, _MONTH_NAMES).select("o_orderkey", kind_of("name").alias("source_kind"))
+    return derived(spark, sf_dir, MONTH_NAMES).select("o_orderkey", kind_of("name").alias("source_kind"))
