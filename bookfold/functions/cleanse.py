@@ -33,6 +33,13 @@ def clean_cell(value: Column | str) -> Column:
     return F.when(F.lower(text) == "nan", F.lit("")).otherwise(text)
 
 
+def clean_cells(values: Column | str) -> Column:
+    """``clean_cell`` on every element; two passes, as a lambda would trim each cell twice."""
+    narrowed = F.transform(as_column(values), lambda v: F.translate(F.coalesce(v, F.lit("")), "\u3000", " "))
+    trimmed = F.transform(narrowed, lambda v: F.btrim(v, F.lit(CELL_SPACE)))
+    return F.transform(trimmed, lambda v: F.when(F.lower(v) == "nan", F.lit("")).otherwise(v))
+
+
 def blank_to_null(value: Column | str) -> Column:
     return F.nullif(trim_space(value), F.lit(""))
 

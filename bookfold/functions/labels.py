@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pyarrow as pa
@@ -10,26 +9,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bookfold.functions.cleanse import CELL_SPACE, as_column, clean_cell
+from bookfold.functions.cleanse import CELL_SPACE, as_column
 
 # Characters that do not count when labels are compared.
 IGNORED_IN_LABELS = CELL_SPACE + "_-()/（）・."
 
 
+_DELETE_IGNORED = dict.fromkeys(map(ord, IGNORED_IN_LABELS))
+
+
+def label_key(label: str) -> str:
+    """Compatibility form, lower case, without space and punctuation."""
+    return unicodedata.normalize("NFKC", label).lower().translate(_DELETE_IGNORED)
+
+
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def _compatible_form(cells: pa.Array) -> pa.Array:
+def _label_keys(cells: pa.Array) -> pa.Array:
     # Spark has no NFKC function, and Arrow's leaves characters decomposed.
-    texts = [unicodedata.normalize("NFKC", text) for text in cells.values.to_pylist()]
-    return type(cells).from_arrays(cells.offsets, pa.array(texts, pa.string()))
+    keys = [label_key(text) for text in cells.values.to_pylist()]
+    return type(cells).from_arrays(cells.offsets, pa.array(keys, pa.string()))
 
 
 def label_keys(values: Column | str) -> Column:
-    """Array of cells -> array of comparison keys."""
-    cleaned = F.transform(F.coalesce(as_column(values), F.array().cast("array<string>")), clean_cell)
-    return F.transform(_compatible_form(cleaned), lambda c: F.translate(F.lower(c), IGNORED_IN_LABELS, ""))
-
-
-def label_key(label: str) -> str:
-    """The same key for one known label, on the driver."""
-    folded = unicodedata.normalize("NFKC", label.strip()).lower()
-    return re.sub(f"[{re.escape(IGNORED_IN_LABELS)}]", "", folded)
+    """Array of clean cells -> array of comparison keys."""
+    return _label_keys(as_column(values))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -40,3 +40,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="bookfold-")
     return f"{root.rstrip('/')}/bookfold/{purpose}-{uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a scan over all cores when the files split into fewer tasks than there are cores.
+
+    Meant ahead of work that costs far more than moving its input. A table in many files is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -12,6 +12,7 @@ from bookfold.operators.files import latest_month as max_month
 from bookfold.operators.files import missing_kinds as kinds_without_file
 from bookfold.operators.headers import measured
 from bookfold.schemas import EXTRACTS
+from bookfold.session import spread
 from bookfold.showcase.frames import derived, table
 from bookfold.showcase.make_files import xlsx_bytes
 from bookfold.showcase.registry import query, sql_text
@@ -64,10 +65,10 @@ def classified_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(derived(spark, sf_dir, MONTH_NAMES))
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS source_kind, n_name AS label FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier)")
+@query("SELECT CAST(doc_id AS VARCHAR) AS source_kind, lang AS label FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def missing_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kinds = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("source_kind"), F.col("n_name").alias("label"))
-    files = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("string").alias("source_kind"))
+    kinds = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("source_kind"), F.col("lang").alias("label"))
+    files = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("source_kind"))
     return kinds_without_file(files, kinds)
 
 
@@ -149,7 +150,7 @@ _XLSX_CELLS = " UNION ALL ".join(
 
 
 def _workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer")
+    customers = spread(table(spark, sf_dir, "customer"))
     book = _customer_workbook("c_custkey", "c_name", "c_mktsegment", F.expr(_WHOLE_BALANCE))
     return customers.select(
         F.lit("monthly_product_sales").alias("source_kind"),

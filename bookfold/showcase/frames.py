@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookfold.schemas import EXTRACTS, LINEAGE
+from bookfold.session import spread
 
 MONTH = "202506"
 _PLACEHOLDER = re.compile(r"\{([a-z]+)\}")
@@ -31,22 +32,15 @@ def code(prefix: str, key: str, width: int = 9) -> str:
 
 
 def cents(amount: str) -> str:
-    return f"CAST(round({amount} * 100) AS BIGINT)"
+    return f"round({amount} * 100)"
 
 
-def grouped(number: str) -> str:
-    """A whole number below a million with a thousands comma."""
-    thousands = f"CAST(floor(({number}) / 1000) AS BIGINT)"
-    return f"CASE WHEN {number} < 1000 THEN {_str(number)} ELSE {_str(thousands)} || ',' || lpad({_str(f'({number}) % 1000')}, 3, '0') END"
-
-
-def money_text(amount: str, key: str) -> str:
-    """Decorated in five ways by key: yen sign, full-width yen sign with spaces, comma, exponent, junk."""
-    units, rest = f"CAST(floor({cents(amount)} / 100) AS BIGINT)", f"lpad({_str(f'{cents(amount)} % 100')}, 2, '0')"
-    plain = f"{_str(units)} || '.' || {rest}"
+def money_text(number: str, key: str) -> str:
+    """Decorated by key: yen sign, full-width yen sign and commas, minus, exponent, junk."""
+    n = f"CAST({number} AS BIGINT)"
     return (
-        f"CASE {key} % 6 WHEN 0 THEN '¥' || {plain} WHEN 1 THEN '￥ ' || {grouped(units)} || '.' || {rest} "
-        f"WHEN 2 THEN {grouped(units)} WHEN 3 THEN '-' || {plain} WHEN 4 THEN {_str(f'{key} % 9')} || 'e3' ELSE 'n/a ' || {plain} END"
+        f"CASE {key} % 6 WHEN 0 THEN '¥' || {_str(n)} || '.5' WHEN 1 THEN '￥ 1,' || lpad({_str(f'{n} % 1000')}, 3, '0') || '.25' "
+        f"WHEN 2 THEN {_str(n)} || ',000' WHEN 3 THEN '-' || {_str(n)} WHEN 4 THEN {_str(f'{n} % 9')} || 'e3' ELSE 'n/a' END"
     )
 
 
@@ -99,7 +93,7 @@ def _products(load: int) -> str:
             "planning_editor": "p_type",
             "sales_start_date": date_text("p_partkey"),
             "title": title,
-            "price": money_text(f"(p_retailprice + {load})", "p_partkey"),
+            "price": money_text(cents(f"(p_retailprice + {load})"), "p_partkey"),
             "isbn": _str("p_size"),
             "author": "p_brand",
         },
@@ -129,7 +123,7 @@ def _authors(load: int) -> str:
             "payee_name": name,
             "initial_royalty_rate": rate_text("o_orderkey % 40", "o_orderkey"),
             "revised_rate_sales_quantity": quantity_text("o_orderkey % 500", "o_orderkey"),
-            "revised_rate_sales_amount": money_text("o_totalprice", "o_orderkey"),
+            "revised_rate_sales_amount": money_text(cents("o_totalprice"), "o_orderkey"),
         },
     )
 
@@ -149,7 +143,7 @@ def _statements() -> str:
             "accounting_month": f"substr({_str('ts')}, 1, 4) || '/' || substr({_str('ts')}, 6, 2)",
             "electronic_publication_code": f"CASE WHEN event_id % 7 = 0 THEN '' ELSE {code('E', 'user_id')} END",
             "book_title": "props",
-            "list_price": money_text("value", "event_id"),
+            "list_price": money_text(cents("value"), "event_id"),
             "store_name": "CASE WHEN event_id % 10 = 3 THEN '　' ELSE event_type || ' ' END",
             "sales_quantity": quantity_text("event_id % 900", "event_id"),
         },
@@ -172,10 +166,10 @@ def _sales() -> str:
             "product_code": f"CASE WHEN (l_orderkey + l_linenumber) % 17 = 0 THEN ' 　' ELSE {code('P', 'l_partkey')} END",
             "product_name": "' ' || l_returnflag || l_linestatus",
             "sales_company_code": _str("l_suppkey"),
-            "list_price": money_text("l_extendedprice", "l_partkey"),
+            "list_price": money_text(cents("l_extendedprice"), "l_partkey"),
             "sales_quantity": quantity_text("l_quantity", "l_partkey"),
-            "sales_amount": money_text("l_extendedprice", "l_suppkey"),
-            "tax_amount": money_text("l_tax", "l_orderkey"),
+            "sales_amount": money_text(cents("l_extendedprice"), "l_suppkey"),
+            "tax_amount": money_text(cents("l_tax"), "l_orderkey"),
             "electronic_publication_code": f"CASE WHEN l_suppkey % 3 = 0 THEN {code('S', 'l_suppkey')} ELSE '' END",
         },
     )
@@ -192,7 +186,7 @@ RAW_SQL = {
 def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run frame SQL on Spark; ``{name}`` stands for a driver table."""
     names = set(_PLACEHOLDER.findall(sql))
-    return spark.sql(sql, **{name: table(spark, sf_dir, name) for name in names})
+    return spark.sql(sql, **{name: spread(table(spark, sf_dir, name)) for name in names})
 
 
 def for_duckdb(sql: str) -> str:

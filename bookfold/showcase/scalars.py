@@ -18,7 +18,7 @@ from bookfold.functions.cleanse import (
 from bookfold.functions.labels import IGNORED_IN_LABELS, label_keys
 from bookfold.operators.files import kind_of
 from bookfold.schemas import EXTRACTS
-from bookfold.showcase.frames import code, date_text, derived, money_text, quantity_text, rate_text
+from bookfold.showcase.frames import cents, code, date_text, derived, money_text, quantity_text, rate_text
 from bookfold.showcase.registry import (
     comparable,
     query,
@@ -32,7 +32,7 @@ from bookfold.showcase.registry import (
 )
 
 _ID = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
-_MONEY = f"SELECT {_ID}, {money_text('l_extendedprice', 'l_partkey')} AS price_text FROM {{lineitem}}"
+_MONEY = f"SELECT {_ID}, {money_text(cents('l_extendedprice'), 'l_partkey')} AS price_text FROM {{lineitem}}"
 _RATE = f"SELECT {_ID}, {rate_text('l_discount * 100', 'l_partkey')} AS rate_text FROM {{lineitem}}"
 _INT = f"SELECT {_ID}, {quantity_text('l_quantity', 'l_partkey')} AS quantity_text FROM {{lineitem}}"
 _DATE = f"SELECT o_orderkey, {date_text('o_orderkey')} AS date_text FROM {{orders}}"

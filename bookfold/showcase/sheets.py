@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bookfold.functions.labels import IGNORED_IN_LABELS, label_key
 from bookfold.operators.headers import generic_rows, mapped_rows, measured, sheet_report, with_report
 from bookfold.schemas import EXTRACTS, GENERIC_COLUMNS, HEADER_SEARCH_ROWS, generic_column
+from bookfold.session import spread
 from bookfold.showcase.frames import table
 from bookfold.showcase.registry import query, sql_text
 
@@ -21,7 +22,7 @@ _MAPPED = ["product_code", "electronic_publication_code", "title", "isbn"]
 
 
 def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "documents").select(
+    lines = spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_number", "line")
     )
     numbered = lines.withColumn("row_number", F.col("line_number").cast("bigint") + 1)
@@ -131,7 +132,7 @@ _PART_CELLS = ["p_name", "'say \"' || p_type || '\"'", "CAST(p_size AS STRING)",
 def _part_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.array(*[F.expr(c) for c in _PART_CELLS])
     return measured(
-        table(spark, sf_dir, "part").select(
+        spread(table(spark, sf_dir, "part")).select(
             F.lit("product_master").alias("source_kind"),
             F.col("p_brand").alias("file_id"),
             F.lit("s1").alias("sheet_name"),

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookfold.functions.cleanse import clean_cell
+from bookfold.functions.cleanse import clean_cells
 from bookfold.schemas import CELLS_SCHEMA
 from bookfold.sources.workbooks import html_rows, xlsx_rows
 
@@ -39,12 +39,14 @@ def file_format(name: Column | str, content: Column | str) -> Column:
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, cells = [], 0
     for batch in batches:
-        for file in (record for one in range(batch.num_rows) for record in batch.slice(one, 1).to_pylist()):
+        about = batch.select(["source_kind", "file_id", "file_name", "format"]).to_pylist()
+        contents = batch.column("content")
+        for index, file in enumerate(about):
             identity = (file["source_kind"], file["file_id"], file["file_name"])
             # Legacy binary spreadsheets have no reader here; like unknown bytes they are tried as HTML.
             reader = xlsx_rows if file["format"] == "xlsx" else html_rows
             try:
-                for sheet, number, values in reader(file["content"]):
+                for sheet, number, values in reader(contents[index].as_py()):
                     rows.append((*identity, sheet, number, values, None))
                     cells += len(values) + 1
                     if cells >= _CELLS_PER_BATCH:
@@ -66,7 +68,7 @@ def extract_cells(files: DataFrame) -> DataFrame:
     tasks = files.select(
         "source_kind", "file_id", "file_name", file_format("file_name", "content").alias("format"), "content"
     )
-    return tasks.mapInArrow(_read_files, CELLS_SCHEMA).withColumn("values", F.transform("values", clean_cell))
+    return tasks.mapInArrow(_read_files, CELLS_SCHEMA).withColumn("values", clean_cells("values"))
 
 
 def empty_files(files: DataFrame, cells: DataFrame) -> DataFrame:
