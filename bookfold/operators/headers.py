@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookfold.functions.cleanse import cell_at, pad_cells, payload_json
@@ -32,9 +32,11 @@ def _per_kind(extracts: Mapping[str, Extract], build) -> Column:
     return chosen
 
 
-def _label_map(extract: Extract) -> Column:
-    fields = {label_key(label): f.name for f in extract.fields for label in f.labels}
-    return F.create_map(*[F.lit(text) for pair in fields.items() for text in pair])
+def known_labels(spark: SparkSession, extracts: Mapping[str, Extract] = EXTRACTS) -> DataFrame:
+    """One row per label of the fixed layouts: source_kind, key, field."""
+    rows = {(e.kind, label_key(label)): f.name for e in extracts.values() for f in e.fields for label in f.labels}
+    values = ", ".join(f"('{kind}', '{key}', '{field}')" for (kind, key), field in rows.items())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS labels(source_kind, key, field)")
 
 
 def _needed(extract: Extract) -> set[str]:
@@ -53,32 +55,27 @@ def measured(rows: DataFrame) -> DataFrame:
 
 
 def header_candidates(rows: DataFrame, extracts: Mapping[str, Extract] = EXTRACTS) -> DataFrame:
-    """Rows near the top of a sheet that hold at least one known label.
+    """Rows near the top of a sheet that hold a known label, with the first column of each field found.
 
-    ``positions`` lists, in field order, the first column carrying the field's label (-1: none).
+    The label table is fixed (one row per label of the layouts), so broadcasting it is safe. Only the
+    few cells that are labels are shuffled, once: both groupings share the sheet partitioning.
     """
     head = rows.filter(F.col("row_number") <= HEADER_SEARCH_ROWS)
     keyed = head.select("source_kind", *SHEET, "row_number", label_keys("values").alias("keys"))
-    found = keyed.withColumn("labels", _per_kind(extracts, _label_map)).withColumn(
-        "found", F.transform("keys", lambda key: F.try_element_at("labels", key))
+    # The outer form keeps Spark from adding a not-empty filter that would run the label function twice.
+    cells = keyed.select("source_kind", *SHEET, "row_number", F.posexplode_outer("keys").alias("position", "key"))
+    hits = cells.join(F.broadcast(known_labels(rows.sparkSession, extracts)), ["source_kind", "key"])
+    row = ["source_kind", *SHEET, "row_number"]
+    first = hits.repartition(*SHEET).groupBy(*row, "field").agg(F.min("position").alias("position"))
+    return first.groupBy(*row).agg(
+        F.count("*").alias("n_fields"), F.map_from_entries(F.collect_list(F.struct("field", "position"))).alias("column_map")
     )
-    placed = found.withColumn(
-        "positions",
-        F.transform(
-            _per_kind(extracts, lambda e: _text_array(e.field_names)),
-            lambda field: F.array_position("found", field).cast("int") - 1,
-        ),
-    )
-    scored = placed.withColumn("n_fields", F.size(F.filter("positions", lambda p: p >= 0)))
-    return scored.filter("n_fields > 0").select("source_kind", *SHEET, "row_number", "n_fields", "positions")
 
 
 def best_header(candidates: DataFrame) -> DataFrame:
-    """Most fields wins, the earlier row on equal counts. One aggregate with map-side combine."""
+    """Most fields wins, the earlier row on equal counts."""
     return candidates.groupBy("source_kind", *SHEET).agg(
-        F.max_by(
-            F.struct("row_number", "n_fields", "positions"), F.struct("n_fields", (-F.col("row_number")).alias("early"))
-        ).alias("best")
+        F.max_by(F.struct("row_number", "column_map"), F.struct("n_fields", (-F.col("row_number")).alias("early"))).alias("best")
     )
 
 
@@ -105,12 +102,12 @@ def sheet_report(rows: DataFrame, extracts: Mapping[str, Extract] = EXTRACTS) ->
         if _can_map_by_position(e)
         else F.lit(None).cast("array<int>"),
     )
-    found_map = F.map_filter(F.map_from_arrays(names, F.col("best.positions")), lambda _, p: p >= 0)
+    found_positions = F.transform(names, lambda name: F.coalesce(F.try_element_at("best.column_map", name), F.lit(-1)))
     report = (
-        report.withColumn("found", F.coalesce(F.map_keys(found_map), _text_array([])))
+        report.withColumn("found", F.coalesce(F.map_keys("best.column_map"), _text_array([])))
         .withColumn("missing", F.array_except(needed, "found"))
         .withColumn("has_header", F.size("missing") == 0)
-        .withColumn("positions", F.when(F.col("has_header"), F.col("best.positions")).otherwise(by_position))
+        .withColumn("positions", F.when(F.col("has_header"), found_positions).otherwise(by_position))
     )
     no_warning = _text_array([])
     optional_missing = F.transform(

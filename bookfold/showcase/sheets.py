@@ -23,7 +23,7 @@ _MAPPED = ["product_code", "electronic_publication_code", "title", "isbn"]
 
 def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spread(table(spark, sf_dir, "documents")).select(
-        "doc_id", F.posexplode(F.split("text", "\n")).alias("line_number", "line")
+        "doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("line_number", "line")
     )
     numbered = lines.withColumn("row_number", F.col("line_number").cast("bigint") + 1)
     header = lambda words: F.array(*[F.lit(w) for w in words])
@@ -36,7 +36,7 @@ def _sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         numbered.select(
             F.expr(f"CASE WHEN {_KINDS['product_master']} THEN 'product_master' ELSE 'monthly_product_sales' END").alias("source_kind"),
             F.col("doc_id").cast("string").alias("file_id"),
-            F.lit("s1").alias("sheet_name"),
+            F.col("lang").alias("sheet_name"),
             "row_number",
             cells.alias("values"),
         )
@@ -135,7 +135,7 @@ def _part_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
         spread(table(spark, sf_dir, "part")).select(
             F.lit("product_master").alias("source_kind"),
             F.col("p_brand").alias("file_id"),
-            F.lit("s1").alias("sheet_name"),
+            F.concat("p_brand", F.lit("-1")).alias("sheet_name"),
             F.col("p_partkey").alias("row_number"),
             F.slice(cells, F.lit(1), F.expr("CAST(p_partkey % 5 AS INT) + 1")).alias("values"),
         )
