@@ -122,7 +122,15 @@ def _json_string(text: Column) -> Column:
 
 def payload_json(values: Column | str) -> Column:
     """The cells as a JSON list, a space after each comma, non-ASCII text kept."""
-    return F.concat(F.lit("["), F.array_join(F.transform(as_column(values), _json_string), ", "), F.lit("]"))
+    cells = as_column(values)
+    quoted = F.concat(F.lit('["'), F.array_join(cells, '", "'), F.lit('"]'))
+    escaped = F.concat(F.lit("["), F.array_join(F.transform(cells, _json_string), ", "), F.lit("]"))
+    # Escaping goes cell by cell, so it is kept for the rows that need it.
+    return (
+        F.when(F.size(cells) == 0, F.lit("[]"))
+        .when(F.array_join(cells, " ").rlike(_NEEDS_ESCAPE), escaped)
+        .otherwise(quoted)
+    )
 
 
 def rows_json(values: Column | str) -> Column:
