@@ -1,4 +1,3 @@
-import os
 import sys
 from pathlib import Path
 
@@ -6,25 +5,20 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from bookfold.session import build_session  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+
+from bookfold.session import SETTINGS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").config(
-        "spark.driver.memory", "4g"
-    ).config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4")
-    session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
-        .getOrCreate()
-    )
+    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    builder = builder.config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "8g")
+    for key, value in SETTINGS.items():
+        builder = builder.config(key, value)
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    return build_session()
+    return session
 
 
 @pytest.fixture
