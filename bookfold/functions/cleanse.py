@@ -29,15 +29,22 @@ def trim_space(value: Column | str) -> Column:
 
 def clean_cell(value: Column | str) -> Column:
     """Cell text as stored: never null, trimmed, ideographic spaces narrowed, ``nan`` blanked."""
-    text = F.btrim(F.translate(F.coalesce(as_column(value), F.lit("")), "\u3000", " "), F.lit(CELL_SPACE))
-    return F.when(F.lower(text) == "nan", F.lit("")).otherwise(text)
+    text = F.btrim(_narrow_space(as_column(value)), F.lit(CELL_SPACE))
+    return F.when(_is_nan(text), F.lit("")).otherwise(text)
+
+
+def _narrow_space(text: Column) -> Column:
+    return F.replace(F.coalesce(text, F.lit("")), F.lit("\u3000"), F.lit(" "))
+
+
+def _is_nan(text: Column) -> Column:
+    return F.lower(F.substring(text, 1, 4)) == "nan"  # four characters: a long cell is not copied
 
 
 def clean_cells(values: Column | str) -> Column:
     """``clean_cell`` on every element; two passes, as a lambda would trim each cell twice."""
-    narrowed = F.transform(as_column(values), lambda v: F.translate(F.coalesce(v, F.lit("")), "\u3000", " "))
-    trimmed = F.transform(narrowed, lambda v: F.btrim(v, F.lit(CELL_SPACE)))
-    return F.transform(trimmed, lambda v: F.when(F.lower(v) == "nan", F.lit("")).otherwise(v))
+    trimmed = F.transform(as_column(values), lambda v: F.btrim(_narrow_space(v), F.lit(CELL_SPACE)))
+    return F.transform(trimmed, lambda v: F.when(_is_nan(v), F.lit("")).otherwise(v))
 
 
 def blank_to_null(value: Column | str) -> Column:

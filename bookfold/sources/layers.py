@@ -8,6 +8,7 @@ stays text and an empty table is readable.
 from __future__ import annotations
 
 import re
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,10 @@ class Layers:
     def read_month(self, table: str, target_month: str) -> DataFrame:
         return self.read(table).filter(F.col("target_month") == target_month)
 
+    def read_batch(self, table: str, target_month: str, loaded_at: datetime) -> DataFrame:
+        """The rows of one load; a file holds one load, so the others are skipped by their statistics."""
+        return self.read_month(table, target_month).filter(F.col("loaded_at") == F.lit(loaded_at))
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Add a batch; an empty batch adds no file. The sort is local, so no shuffle is needed."""
         ordered = rows.select(self._schemas[table].fieldNames()).sortWithinPartitions(

@@ -73,3 +73,19 @@ def test_no_cross_joins(spark, name):
 
 def test_every_query_has_its_sql():
     assert set(oracle_sql()) == set(queries())
+
+
+def test_only_the_chosen_files_are_opened(spark, folder):
+    from test_monthly_run import write_landing
+
+    from bookfold.sources.landing import choose_files, file_contents, manifest
+
+    landing = write_landing(folder)
+    for i in range(3):
+        with open(f"{landing}/other{i}.bin", "wb") as out:
+            out.write(b"x" * 50_000)
+    contents = file_contents(spark, landing, choose_files(manifest(spark, landing)))
+    assert contents.count() == 4
+    contents.collect()
+    scan = contents._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 4
