@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,20 +62,22 @@ def check_counts(tables: Mapping[str, DataFrame], target_month: str) -> DataFram
 def check_samples(tables: Mapping[str, DataFrame], target_month: str, only: Iterable[str] | None = None) -> list[q.Check]:
     """Samples of all checks, or of those named in ``only``. The empty-table checks have none."""
     month = _month_tables(tables, target_month)
+    wanted = None if only is None else set(only)
     checks = []
+
+    def add(name: str, table: str, sample: Callable[..., DataFrame], *arguments) -> None:
+        if wanted is None or name in wanted:
+            checks.append(q.Check(name, table, sample(*arguments)))
+
     for table, (required, shown) in _REQUIRED.items():
-        sample = q.row_sample(month[table], q.any_null(*required), shown, ROW_IDENTITY)
-        checks.append(q.Check(f"{table}_required_null", table, sample))
+        add(f"{table}_required_null", table, q.row_sample, month[table], q.any_null(*required), shown, ROW_IDENTITY)
     _, shown = _REQUIRED[SALES]
-    missing_code = q.row_sample(month[SALES], q.any_null("electronic_publication_code"), shown, ROW_IDENTITY)
-    checks.append(q.Check(_MISSING_CODE, SALES, missing_code))
+    add(_MISSING_CODE, SALES, q.row_sample, month[SALES], q.any_null("electronic_publication_code"), shown, ROW_IDENTITY)
     for name, (other, shown) in _UNMATCHED.items():
-        sample = q.unmatched_sample(month[SALES], month[other], MATCH_KEYS, shown, ROW_IDENTITY)
-        checks.append(q.Check(name, SALES, sample))
+        add(name, SALES, q.unmatched_sample, month[SALES], month[other], MATCH_KEYS, shown, ROW_IDENTITY)
     for table, keys in _DUPLICATE.items():
-        checks.append(q.Check(f"{table}_duplicate_key", table, q.duplicate_sample(month[table], keys)))
-    wanted = None if only is None else set(only)
-    return [c for c in checks if wanted is None or c.name in wanted]
+        add(f"{table}_duplicate_key", table, q.duplicate_sample, month[table], keys)
+    return checks
 
 
 def source_findings(tables: Mapping[str, DataFrame], target_month: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,3 +51,10 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def together(jobs: Sequence[Callable[[], None]]) -> None:
+    """Submit independent Spark jobs at once, so that one's last tasks do not hold up the next."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        for submitted in [pool.submit(job) for job in jobs]:
+            submitted.result()

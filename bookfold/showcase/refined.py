@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from bookfold.operators.enrich import with_master
 from bookfold.operators.metadata import staged, with_metadata
 from bookfold.plans.refine import SALES, refine_reference, refine_sales
 from bookfold.schemas import EXTRACTS
-from bookfold.session import shared_folder
+from bookfold.session import shared_folder, together
 from bookfold.showcase.frames import MONTH, RAW_SQL, code, derived, raw_frame, table
 from bookfold.showcase.registry import SQL_REFINE, comparable, query, sql_blank_to_null
 from bookfold.sources.layers import Layers
@@ -67,12 +69,17 @@ def refined_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def written_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The refined tables written as a run does: the master first, sales joining the written master."""
     layers = Layers(spark, shared_folder(spark, "refined"))
-    for kind, extract in EXTRACTS.items():
+
+    def build(kind: str) -> None:
         raw = raw_frame(spark, sf_dir, kind)
         if kind == SALES:
-            layers.replace(extract.source_table, refine_sales(raw, layers.read("source_product_master"), MONTH))
+            refined = refine_sales(raw, layers.read("source_product_master"), MONTH)
         else:
-            layers.replace(extract.source_table, refine_reference(kind, raw, MONTH))
+            refined = refine_reference(kind, raw, MONTH)
+        layers.replace(EXTRACTS[kind].source_table, refined)
+
+    together([partial(build, kind) for kind in EXTRACTS if kind != SALES])
+    build(SALES)
     return {e.source_table: layers.read(e.source_table) for e in EXTRACTS.values()}
 
 
