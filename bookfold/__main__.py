@@ -1,4 +1,4 @@
-"""``spark-submit`` entry: one monthly run."""
+"""``python -m bookfold``: one monthly run."""
 
 from __future__ import annotations
 

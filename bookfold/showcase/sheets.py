@@ -10,7 +10,7 @@ from bookfold.operators.headers import generic_rows, mapped_rows, measured, shee
 from bookfold.schemas import EXTRACTS, GENERIC_COLUMNS, HEADER_SEARCH_ROWS, generic_column
 from bookfold.session import spread
 from bookfold.showcase.frames import table
-from bookfold.showcase.registry import query, sql_text
+from bookfold.showcase.registry import ORACLE, query, sql_text
 
 # Every document is a sheet: a line is a row, a word a cell. Two header rows are written in by document
 # number, some past the search depth; even documents are of a kind that cannot do without a header.
@@ -103,6 +103,19 @@ def header_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "SELECT CAST(count(*) AS BIGINT) AS n_sheets, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_warnings) AS BIGINT) AS n_warnings, "
+    f"CAST(count(error) AS BIGINT) AS n_errors FROM ({ORACLE['header_detect']})"
+)
+def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sheet_report(_sheets(spark, sf_dir)).agg(
+        F.count("*").alias("n_sheets"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum(F.size("warnings")).alias("n_warnings"),
+        F.count("error").alias("n_errors"),
+    )
+
+
 _ANY_FIELD = " OR ".join(
     f"coalesce(cells[coalesce(p_{f}, -1) + 1], '') <> ''" for f in _POSITIONS
 )
