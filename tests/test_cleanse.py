@@ -78,9 +78,9 @@ def test_rate_and_whole_number(spark):
 
 def test_calendar_date(spark):
     values = ["2025/06/01", "2025-06-01", "20250601", "2025/6/1", " 2025-6-1　", "2025/02/30", "25/6/1", "", None]
-    values += ["2025/6-1", "2025-06-01 00:00:00", "2025", "2025/06"]
+    values += ["2025/6-1", "2025-06-01 00:00:00", "2025", "2025/06", "202561", "2025061"]
     found = [None if d is None else d.isoformat() for d in apply(spark, calendar_date, values)]
-    assert found == ["2025-06-01"] * 5 + [None] * 8
+    assert found == ["2025-06-01"] * 5 + [None] * 10
 
 
 def test_keys_and_fallback(spark):
