@@ -5,7 +5,7 @@ found by a scan, the boundary there is deleted, and the two neighbouring ranks a
 parts can merge. Words above ``LONG_WORD`` bytes, for which repeated scans would cost the square of the length,
 merge through a heap to the same result.
 
-Each task keeps the ids of pieces already seen, at most ``MEMO_PIECES`` of them. The vocabulary file is read once
+Each task keeps the ids of pieces already seen, in two generations of at most ``MEMO_PIECES`` each. The vocabulary file is read once
 by the driver (its size is fixed) and broadcast.
 
 Edge cases: null and empty texts have no ids and decode to the empty text. The vocabulary's special tokens are
@@ -18,21 +18,22 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from bookfold.llm.common import arrow_rows, only
+from bookfold.llm.pieces import piece_text, pieces_of
 
 LONG_WORD = 256
-MEMO_PIECES = 200_000
+MEMO_PIECES = 150_000
 _ROWS = 256
 _NONE = 1 << 60
 #: Fixed value: the published pattern that parts a text into words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: A space that touches other white space; without one, texts can be parted at their spaces.
-_LOOSE_SPACE = regex.compile(r"\s \s|\s $|^ \s|^ $")
 
 
 def byte_symbols() -> dict[str, int]:
@@ -63,7 +64,8 @@ class BytePairCoder:
             self.merged.append(ids[a + b])
         self._words = regex.compile(PATTERN)
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self._memo: dict[str, list[int]] = {}
+        self._young: dict[str, list[int]] = {}
+        self._old: dict[str, list[int]] = {}
 
     def encode_word(self, word: bytes) -> list[int]:
         if len(word) > LONG_WORD:
@@ -119,26 +121,28 @@ class BytePairCoder:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if _LOOSE_SPACE.search(text) or (self._special is not None and self._special.search(text)):
+        pieces = None if self._special is not None and self._special.search(text) else pieces_of(text)
+        if pieces is None:
             return self._encode_parted(text)
-        # A word never crosses a space that stands alone, so pieces between spaces are encoded once each.
-        memo = self._memo
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
-        first, *rest = text.split(" ")
-        out = self._encode_stretch(first)
-        for piece in rest:
-            ids = memo.get(piece)
-            if ids is None:
-                ids = memo[piece] = self._encode_stretch(" " + piece)
-            out += ids
-        return out
+        if len(self._young) > MEMO_PIECES:
+            self._old, self._young = self._young, {}
+        young, old = self._young, self._old
+        for piece in pieces:
+            if piece not in young:
+                young[piece] = old[piece] if piece in old else self._encode_stretch(piece_text(piece))
+        return [*chain.from_iterable(map(young.__getitem__, pieces))]
 
     def decode(self, ids: Iterable[int]) -> str:
         """Bytes of all tokens, special ones too; bytes that are no UTF-8 become U+FFFD."""
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=1)
+def _coder(content: str) -> BytePairCoder:
+    """One coder in each Python worker, whichever tasks it runs: the memory stays warm."""
+    return BytePairCoder(content)
+
+
 def encode_and_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Columns doc_id, ids (array<int>) and decoded (the text decoded from those ids)."""
     rows = only(docs, doc_id=id_column, text=text_column)
@@ -146,7 +150,7 @@ def encode_and_decode(docs: DataFrame, vocabulary_path: str, id_column: str = "d
         content = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = BytePairCoder(content.value)
+        coder = _coder(content.value)
         for batch in arrow_rows(batches, _ROWS):
             ids = [coder.encode(text) for text in batch.column("text").to_pylist()]
             decoded = [coder.decode(i) for i in ids]

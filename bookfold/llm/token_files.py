@@ -27,8 +27,9 @@ columns play no part.
 
 from __future__ import annotations
 
-import re
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +38,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookfold.llm.common import arrow_rows, only
+from bookfold.llm.pieces import BARE, piece_text, pieces_of
 
 SEGMENT_IDS = 2_000_000
 MEMO_PIECES = 200_000
 #: Index rows up to which the index is broadcast (32 bytes each); beyond, it is joined by a shuffle.
 BROADCAST_SEGMENTS = 200_000
 _SAMPLE = 64
+_TOGETHER = 256
 _ROWS = 256
-_LOOSE_SPACE = re.compile(r"\s \s|\s $|^ \s|^ $")
 _SEGMENT = "part int, seq int, doc_ids array<{kind}>, n_ids long, id_bytes int, ids binary, low_bits int, low binary, high binary, samples binary"
 
 
@@ -93,9 +95,14 @@ class EliasFano:
 
 
 class PieceEncoder:
-    """The library's encoder with a memory of pieces: a text is parted at spaces that stand alone, which no token crosses."""
+    """The library's encoder with a memory of pieces: a text is parted at spaces that stand alone, which no token crosses.
+
+    The memory has two generations of at most MEMO_PIECES pieces; what the young one lacks is taken from the old one,
+    so that pieces in use survive when the old one goes.
+    """
 
     def __init__(self, content: str, kind: np.dtype):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_str(content)
@@ -103,37 +110,62 @@ class PieceEncoder:
         self._library.no_padding()
         self._kind = kind
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
-        self._memo: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self._kind).tobytes() for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+        size = self._library.get_vocab_size(with_added_tokens=True)
+        # Byte-level vocabularies write a space as U+0120.
+        self._begins = np.array([(self._library.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, self._kind) for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encodes pieces that follow a space. Those without white space go many to a text: each begins with the one
+        token of theirs that begins with a space."""
+        after_space = [p for p in pieces if p[:1] != BARE and "\n" not in p and p]
+        for at in range(0, len(after_space), _TOGETHER):
+            some = after_space[at : at + _TOGETHER]
+            (ids,) = self._ids([" " + " ".join(some)])
+            starts = np.flatnonzero(self._begins[ids])
+            if len(starts) == len(some):
+                data, width = ids.tobytes(), self._kind.itemsize
+                cuts = [*(starts * width).tolist(), len(data)]
+                self._young.update({p: data[a:b] for p, a, b in zip(some, cuts, cuts[1:])})
+        single = [p for p in pieces if p not in self._young]
+        self._young.update(zip(single, (i.tobytes() for i in self._ids([piece_text(p) for p in single]))))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text as bytes."""
-        if len(self._memo) > MEMO_PIECES:
-            self._memo.clear()
+        if len(self._young) > MEMO_PIECES:
+            self._old, self._young = self._young, {}
         out: list[bytes] = [b""] * len(texts)
         whole, parted, new = [], [], set()
         for at, text in enumerate(texts):
             if not text:
                 continue
-            if _LOOSE_SPACE.search(text) or any(s in text for s in self._special):
+            pieces = None if any(s in text for s in self._special) else pieces_of(text)
+            if pieces is None:
                 whole.append(at)
-                continue
-            # The first piece has no space before it; a NUL-prefixed key keeps it apart from the others.
-            pieces = text.split(" ")
-            pieces[0] = "\0" + pieces[0]
-            parted.append((at, pieces))
-            new.update(pieces)
-        missing = [p for p in new if p not in self._memo]
-        self._memo.update(zip(missing, self._ids([p[1:] if p[0] == "\0" else " " + p for p in missing])))
+            else:
+                parted.append((at, pieces))
+                new.update(pieces)
+        missing = [p for p in new if p not in self._young]
+        self._young.update({p: self._old[p] for p in missing if p in self._old})
+        self._learn([p for p in missing if p not in self._old])
+        of = self._young.__getitem__
         for at, pieces in parted:
-            out[at] = b"".join(map(self._memo.__getitem__, pieces))
+            out[at] = b"".join(map(of, pieces))
         for at, ids in zip(whole, self._ids([texts[at] for at in whole])):
-            out[at] = ids
+            out[at] = ids.tobytes()
         return out
 
 
+@lru_cache(maxsize=1)
+def _encoder(content: str, kind: str) -> PieceEncoder:
+    """One encoder in each Python worker, whichever tasks it runs: the memory stays warm."""
+    return PieceEncoder(content, np.dtype(kind))
+
+
 def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> None:
     """Writes ``path/segments`` and ``path/index``."""
     spark = docs.sparkSession
@@ -150,7 +182,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary_path: str, end_id:
     schema = _SEGMENT.format(kind=id_kind)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(shared.value, kind)
+        encoder = _encoder(shared.value, kind.str)
         end = np.array([end_id], kind).tobytes()
         part, seq = TaskContext.get().partitionId(), 0
         doc_ids, parts, size = [], [], 0
