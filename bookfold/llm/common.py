@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookfold.session import shared_folder
@@ -81,3 +81,22 @@ def long_lists(arrays: list[np.ndarray]) -> pa.Array:
 def only(frame: DataFrame, **columns: str) -> DataFrame:
     """The named columns under internal names; other columns, whatever they are called, do not take part."""
     return frame.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+
+
+#: A key with this many of the sampled rows is heavy: it stands for about 64 times as many.
+HEAVY_SAMPLED = 16
+
+
+def heavy_keys(sampled: DataFrame, key: str) -> DataFrame:
+    """Keys frequent in a sample of one row owner in 64: at most rows / (64 * HEAVY_SAMPLED) of them, written out."""
+    return stored(sampled.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") >= HEAVY_SAMPLED).select(key, F.lit(True).alias("heavy")), "heavy-keys")
+
+
+def shared_by_two(rows: DataFrame, key: str, owner: str, heavy: DataFrame) -> DataFrame:
+    """The rows whose key occurs more than once. One shuffle by key; heavy keys, which surely do, are dealt out by owner
+    instead, so that no task gets all rows of one."""
+    marked = rows.join(heavy, key, "left")
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64(owner), F.lit(1 << 20))).otherwise(0)
+    order = Window.partitionBy(key, salt).orderBy(owner)
+    marked = marked.withColumns({"before": F.lag(owner).over(order), "after": F.lead(owner).over(order)})
+    return marked.filter("before is not null or after is not null or heavy").drop("before", "after", "heavy")

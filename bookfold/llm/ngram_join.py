@@ -35,10 +35,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bookfold.llm.common import arrow_rows, long_lists, mixed, only, shingle_sequence, stored, words_of
+from bookfold.llm.common import arrow_rows, heavy_keys, long_lists, mixed, only, shared_by_two, shingle_sequence, stored, words_of
 from bookfold.llm.components import components
 
 DENSE_BITS = 2048
@@ -133,8 +132,8 @@ def _sketched(rows: DataFrame, width: int, percent: int) -> DataFrame:
     return rows.mapInArrow(sketch, f"doc_id {kind}, n long, print1 long, print2 long, keys array<long>, dense array<long>")
 
 
-def _bitmap(ids: DataFrame) -> bytes:
-    """Which of BITMAP_BITS hash places are taken by the ids."""
+def id_bitmap(ids: DataFrame) -> bytes:
+    """Which of BITMAP_BITS hash places are taken by the ids (column id)."""
     place = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
     taken = ids.select((place / 32768).cast("int").alias("block"), (place % 32768).alias("bit"))
     blocks = taken.groupBy("block").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
@@ -144,19 +143,23 @@ def _bitmap(ids: DataFrame) -> bytes:
     return bytes(whole)
 
 
+def in_bitmap(batches: Iterator[pa.RecordBatch], bitmap: bytes) -> Iterator[pa.RecordBatch]:
+    """The rows whose hash place (column place) is taken."""
+    bits = np.frombuffer(bitmap, np.uint8)
+    for batch in batches:
+        place = batch.column("place").to_numpy()
+        yield batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
+
+
 def exact_sets(rows: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """set_id and its sorted hashes, for the documents named by ``ids`` (column id)."""
-    taken = rows.sparkSession.sparkContext.broadcast(_bitmap(ids))
+    taken = rows.sparkSession.sparkContext.broadcast(id_bitmap(ids))
     placed = rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("place"), "text")
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(taken.value, np.uint8)
-        for batch in arrow_rows(batches, 8 * _ROWS):
-            place = batch.column("place").to_numpy()
-            some = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)))
-            for part in arrow_rows([some], _ROWS):
-                sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), long_lists(sets)], names=["set_id", "hashes"])
+        for part in arrow_rows(in_bitmap(batches, taken.value), _ROWS):
+            sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), long_lists(sets)], names=["set_id", "hashes"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     fetched = placed.filter("doc_id is not null").mapInArrow(fetch, f"set_id {kind}, hashes array<long>")
@@ -192,9 +195,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     sets = full.groupBy(*fingerprint).agg(F.min("doc_id").alias("set_id"), F.first("keys").alias("keys"), F.first("dense").alias("dense"))
 
     held = sets.select("set_id", "n", F.explode("keys").alias("key"))
-    order = Window.partitionBy("key").orderBy("set_id")
-    beside = held.withColumns({"before": F.lag("set_id").over(order), "after": F.lead("set_id").over(order)})
-    shared = stored(beside.filter("before is not null or after is not null").select("key", "set_id", "n"), "shared-keys")
+    sampled = full.filter(F.pmod("print1", F.lit(64)) == 0).dropDuplicates(fingerprint)
+    heavy = heavy_keys(sampled.select(F.explode("keys").alias("key")), "key")
+    shared = stored(shared_by_two(held, "key", "set_id", heavy).select("key", "set_id", "n"), "shared-keys")
     needed = F.lit(1) + F.floor(F.floor(F.ceil(F.col("n") * percent / 100) * (100 - percent) / percent) / 8)
     alive = shared.groupBy("set_id", "n").agg(F.count("*").alias("keys")).filter(F.col("keys") >= needed)
     alive = stored(alive.select("set_id", "n"), "alive")
@@ -232,9 +235,8 @@ def _marked(keys: DataFrame, named: DataFrame) -> DataFrame:
 
 def _star_links(keys: DataFrame, exact: DataFrame, percent: int, by: str = "set_id") -> DataFrame:
     """Links of each set with the centre, first in its keys, with which it shares most keys."""
-    order = Window.partitionBy("key").orderBy(by, "set_id")
-    first = F.first(F.struct("set_id", F.col(by).alias("group"))).over(order)
-    centred = keys.withColumn("centre", first).filter(F.col("centre.group") != F.col(by))
+    first = keys.groupBy("key").agg(F.min(F.struct(F.col(by).alias("group"), F.col("set_id").alias("set_id"))).alias("centre"))
+    centred = keys.join(first, "key").filter(F.col("centre.group") != F.col(by))
     shared = centred.groupBy("set_id", F.col("centre.set_id").alias("a")).agg(F.count("*").alias("keys"))
     best = shared.groupBy(F.col("set_id").alias("b")).agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a"))
     return stored(_verified(stored(best.select("a", "b"), "stars"), exact, percent), "star-links")

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookfold.llm import bpe, html_content, line_dedup, packing, quality, token_files, topk, url_filter
+from bookfold.llm import bpe, html_content, line_dedup, ngram_join, packing, quality, substring_dedup, token_files, topk, url_filter
 from bookfold.llm.common import read_table
+from bookfold.llm.stages import LINE_MIN_PAGES, LINE_RATIO
 from bookfold.session import shared_folder
 
 #: End-of-document id of the token files.
@@ -21,6 +22,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages"), [*url_filter.PATH_RULES, *url_filter.BLOCK_LIST])
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -43,6 +48,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     trees = quality.train_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -70,14 +79,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Lines on more than this share of a host's pages are boilerplate, for hosts of so many pages at least.
-LINE_RATIO, LINE_MIN_PAGES = 0.1, 20
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
     "op4_html_extraction": op4_html_extraction,
     "op5_token_files": op5_token_files,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_top_k": op8_top_k,
     "op9_line_dedup": op9_line_dedup,
