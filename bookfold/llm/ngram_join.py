@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from bookfold.llm.common import arrow_rows, heavy_keys, long_lists, mixed, only, shared_by_two, shingle_sequence, stored, words_of
 from bookfold.llm.components import components
 
-DENSE_BITS = 2048
+DENSE_BITS = 512
 #: Bits of the bitmap that thins a scan to candidate documents: 2 MiB whatever the table's size.
 BITMAP_BITS = 1 << 24
 #: Sets below this size have one element per chunk; bands above grow by the ratio of 7 to 2.
@@ -208,15 +208,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     named = components(links)
     dense = sketches.select("doc_id", "n", "dense").filter("n > 0")
     dense = stored(dense.join(alive.select(F.col("set_id").alias("doc_id"), "n"), ["doc_id", "n"], "left_semi"), "dense").withColumnRenamed("doc_id", "set_id")
-    # A second star between components, then the exact rest.
-    for last in (False, True):
-        marked = _marked(keys, named)
-        if last:
-            more = _cross_links(marked, dense, exact, percent)
-        else:
-            more = _star_links(marked, exact, percent, "component")
-        links = stored(links.union(more), "all-links")
-        named = components(links)
+    links = links.union(_cross_links(_marked(keys, named), dense, exact, percent))
+    named = components(links)
 
     members = sketches.select("doc_id", *fingerprint)
     owners = stored(full.groupBy(*fingerprint).agg(F.min("doc_id").alias("set_id")), "owners")
@@ -233,11 +226,11 @@ def _marked(keys: DataFrame, named: DataFrame) -> DataFrame:
     return stored(marked.join(mixed_keys.select("key"), "key", "left_semi"), "mixed-keys")
 
 
-def _star_links(keys: DataFrame, exact: DataFrame, percent: int, by: str = "set_id") -> DataFrame:
+def _star_links(keys: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
     """Links of each set with the centre, first in its keys, with which it shares most keys."""
-    first = keys.groupBy("key").agg(F.min(F.struct(F.col(by).alias("group"), F.col("set_id").alias("set_id"))).alias("centre"))
-    centred = keys.join(first, "key").filter(F.col("centre.group") != F.col(by))
-    shared = centred.groupBy("set_id", F.col("centre.set_id").alias("a")).agg(F.count("*").alias("keys"))
+    first = keys.groupBy("key").agg(F.min("set_id").alias("a"))
+    centred = keys.join(first, "key").filter("a <> set_id")
+    shared = centred.groupBy("set_id", "a").agg(F.count("*").alias("keys"))
     best = shared.groupBy(F.col("set_id").alias("b")).agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a"))
     return stored(_verified(stored(best.select("a", "b"), "stars"), exact, percent), "star-links")
 
