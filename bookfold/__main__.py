@@ -16,9 +16,10 @@ def main() -> None:
     parser.add_argument("--month", help="YYYYMM; default: the latest month named by the chosen files")
     parser.add_argument("--keep-going", action="store_true", help="succeed even when quality checks find errors")
     parser.add_argument("--generic-columns", type=int, default=GENERIC_COLUMNS)
+    parser.add_argument("--shuffle-bytes", type=int, default=1 << 40, help="what the widest shuffle may move; small partitions are merged")
     args = parser.parse_args()
     stats = run_refinery(
-        build_session(),
+        build_session(shuffle_bytes=args.shuffle_bytes),
         args.landing,
         args.root,
         target_month=args.month,

@@ -71,10 +71,10 @@ def whole_number(value: Column | str) -> Column:
 
 
 def calendar_date(value: Column | str) -> Column:
-    """``2025/6/1``, ``2025-06-01`` or ``20250601``; a year has four digits; anything else is null."""
+    """``2025/6/1``, ``2025-06-01`` or ``20250601``; a year has four digits and is 0001 at least; anything else is null."""
     text = trim_space(value)
     iso = F.regexp_replace(text, _DATE_PATTERN, "$1-$3$5-$4$6")
-    return F.when(text.rlike(_DATE_PATTERN), iso.try_cast("date"))
+    return F.when(text.rlike(_DATE_PATTERN) & ~text.startswith("0000"), iso.try_cast("date"))
 
 
 def refine(value: Column | str, refined_type: str) -> Column:

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Stamps stored as INT96 have no statistics, so the files of other loads could not be skipped.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # The JVM never compiles methods above 8000 bytes; wide typed projections run faster split up.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }

@@ -141,7 +141,7 @@ def source_quality_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers(spark, shared_folder(spark, "findings"))
     stamp = {"checked_at": F.current_timestamp(), "target_month": F.lit(MONTH)}
     found = source_findings_staged(written_tables(spark, sf_dir), MONTH).withColumns(stamp)
-    layers.replace_run("r1", found.limit(1))
+    layers.replace_run("r1", found.filter("table_name = 'source_product_master'"))
     layers.replace_run("r2", found)
     layers.replace_run("r2", found.filter("error_count < 0"))
     layers.replace_run("r1", found)

@@ -12,7 +12,6 @@ _MIME_TYPES = {
     ".xls": "application/vnd.ms-excel",
     ".xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
 }
-_TIED_NAMES_SHOWN = 20
 
 
 class SourceFileError(ValueError):
@@ -57,8 +56,9 @@ def choose_files(files: DataFrame, target_month: str | None = None) -> list[dict
         raise SourceFileError(f"required source file not found: {named}")
     for kind in KINDS:
         if chosen[kind]["n_tied"] > 1:
-            tied = newest.filter(F.col("source_kind") == kind).orderBy(F.desc("name")).limit(_TIED_NAMES_SHOWN)
-            names = ", ".join(r["name"] for r in tied.select("name").collect())
+            tied = newest.filter(F.col("source_kind") == kind).select("name")
+            # Files of one directory that are newest at the same instant: all of them are named.
+            names = tied.agg(F.array_join(F.reverse(F.array_sort(F.collect_list("name"))), ", ").alias("names")).first()["names"]
             raise SourceFileError(f"multiple latest files for {EXTRACTS[kind].label}: {names}")
     return [{"source_kind": kind, **chosen[kind]["file"].asDict()} for kind in KINDS]
 
