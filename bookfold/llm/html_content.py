@@ -1,7 +1,7 @@
 """Main text of pages by a tree-structured graphical model.
 
 Every DOM node has a hidden label, content or not. Node potentials are a logistic function of indicator features,
-parent-child potentials a table of how labels of linked nodes go together; both are trained from labelled pages.
+parent-child potentials the chance of each label given the parent's; both are trained from labelled pages.
 Sum-product messages pass once upward and once downward through the tree, which gives each node's exact marginal;
 text blocks whose marginal of being content reaches one half are the main text.
 
@@ -48,10 +48,12 @@ SEED_PAGES = tuple(
 
 @dataclass(frozen=True)
 class ContentModel:
-    """Log potentials: ``weights`` by feature (content against not), ``edges[parent label][label]``."""
+    """Log potentials: ``weights`` by feature (content against not), ``edges[parent label][label]`` between elements, and
+    ``text_edges`` from an element to its text blocks (``edges`` if not given)."""
 
     weights: dict[str, float]
     edges: tuple[tuple[float, float], tuple[float, float]]
+    text_edges: tuple[tuple[float, float], tuple[float, float]] | None = None
 
 
 def page_labels(nodes: list[Node]) -> list[bool]:
@@ -65,18 +67,18 @@ def page_labels(nodes: list[Node]) -> list[bool]:
     return [a and not b for a, b in zip(inside, outside)]
 
 
-def train_content_model(pages: list[tuple[list[Node], list[bool]]], steps: int = 30, penalty: float = 1.0) -> ContentModel:
+def train_content_model(pages: list[tuple[list[Node], list[bool]]], steps: int = 30, penalty: float = 0.1) -> ContentModel:
     """Node weights by penalised logistic regression (Newton steps), edge potentials by smoothed counts."""
     places: dict[str, int] = {}
     rows: list[list[int]] = []
     labels: list[bool] = []
-    pairs = np.ones((2, 2))
+    pairs = np.ones((2, 2, 2))  # by text block or element, parent's label, label
     for nodes, marks in pages:
         for node, mark in zip(nodes, marks):
             rows.append([places.setdefault(f, len(places)) for f in node_features(node)])
             labels.append(mark)
             if node.parent >= 0:
-                pairs[int(marks[node.parent]), int(mark)] += 1
+                pairs[int(node.text is not None), int(marks[node.parent]), int(mark)] += 1
     x = np.zeros((len(rows), len(places) + 1))
     x[:, -1] = 1
     for at, row in enumerate(rows):
@@ -88,27 +90,29 @@ def train_content_model(pages: list[tuple[list[Node], list[bool]]], steps: int =
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    # Edges as ratios to independence, so that nodes and edges do not count the share of content twice.
-    share = pairs / pairs.sum()
-    ratio = np.log(share / (share.sum(axis=1, keepdims=True) * share.sum(axis=0, keepdims=True)))
-    weights = {name: float(w[at]) for name, at in places.items()} | {"": float(w[-1])}
-    return ContentModel(weights, tuple(map(tuple, ratio.tolist())))
+    # Labels given the parent's; nodes then add what their features say beyond the share of content.
+    given = np.log(pairs / pairs.sum(axis=2, keepdims=True))
+    share = (y.sum() + 1) / (len(y) + 2)
+    weights = {name: float(w[at]) for name, at in places.items()} | {"": float(w[-1] - np.log(share / (1 - share)))}
+    return ContentModel(weights, *(tuple(map(tuple, table)) for table in given.tolist()))
 
 
 def content_marginals(nodes: list[Node], model: ContentModel) -> list[float]:
     """Each node's log odds of being content, by one upward and one downward pass of messages."""
     weights, bias = model.weights, model.weights.get("", 0.0)
-    (e00, e01), (e10, e11) = (tuple(math.exp(v) for v in row) for row in model.edges)
+    tables = [tuple(math.exp(v) for row in edges for v in row) for edges in (model.edges, model.text_edges or model.edges)]
+    table = [tables[n.text is not None] for n in nodes]
     count = len(nodes)
     own = [bias + sum(weights.get(f, 0.0) for f in node_features(n)) for n in nodes]
     below, message = own[:], [0.0] * count  # log odds of a node with all below it; its message to the parent
     for i in range(count - 1, 0, -1):
-        message[i] = _passed(below[i], e00, e01, e10, e11)
+        message[i] = _passed(below[i], *table[i])
         below[nodes[i].parent] += message[i]
     odds = below[:]
     for i in range(1, count):
         parent = nodes[i].parent
         # What the parent knows without this child, sent through the same table the other way.
+        e00, e01, e10, e11 = table[i]
         odds[i] = below[i] + _passed(odds[parent] - message[i], e00, e10, e01, e11)
     return odds
 

@@ -147,12 +147,10 @@ def _step(value: float, steps: tuple[float, ...]) -> int:
 def node_features(node: Node) -> list[str]:
     """Names of the node's indicator features."""
     share = node.n_link_chars / node.n_chars if node.n_chars else 0.0
-    marks = [
-        "text" if node.text is not None else "element",
-        f"chars{_step(node.n_chars, (1, 25, 80, 240, 1000))}",
-        f"links{_step(share, (0.05, 0.3, 0.7))}",
-        f"stops{_step(node.n_stops / max(node.n_chars, 1) * 100, (0.2, 1.0, 3.0))}",
-    ]
+    marks = ["text" if node.text is not None else "element", f"links{_step(share, (0.05, 0.3, 0.7))}"]
+    if node.text is not None:
+        marks.append(f"chars{_step(node.n_chars, (25, 240))}")
+        marks.append(f"stops{_step(node.n_stops, (1, 2))}")
     tag = node.tag
     if tag in HEADINGS:
         marks.append("tag:heading")
