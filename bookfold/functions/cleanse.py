@@ -11,6 +11,7 @@ WHITE_SPACE = "".join(map(chr, _SPACE_CODES))
 # What is trimmed from a sheet cell also counts the four ASCII separator controls as space.
 CELL_SPACE = WHITE_SPACE + "\u001c\u001d\u001e\u001f"
 
+# Characters that numbers may carry, and how a month stands in a file name.
 MONEY_NOISE = ",￥¥ "
 RATE_NOISE = "%％, "
 INT_NOISE = ", "

@@ -14,8 +14,7 @@ SheetRow = tuple[str, int, list[str]]
 
 # Cell texts that stand for "no value".
 NO_VALUE = frozenset(
-    ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN"]
-    + ["<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+    ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 )
 # The built-in spreadsheet number formats that show a date or a time.
 DATE_FORMAT_IDS = frozenset([*range(14, 23), *range(45, 48)])
