@@ -27,11 +27,6 @@ def staged(rows: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed({c: staged_name(c) for c in rows.columns if c not in _METADATA})
 
 
-def unstaged(rows: DataFrame) -> DataFrame:
-    """Staging rows as the raw layer names them."""
-    return rows.withColumnsRenamed({c: c.removeprefix("raw_") for c in rows.columns if c not in _METADATA})
-
-
 def month_count(table: DataFrame, target_month: str) -> DataFrame:
     return table.sparkSession.sql(
         "SELECT count(*) AS row_count FROM {t} WHERE target_month = :month", args={"month": target_month}, t=table

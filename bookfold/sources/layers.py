@@ -92,6 +92,12 @@ class Layers:
         """Swap the whole content; ``rows`` must not read the table itself."""
         rows.select(self._schemas[table].fieldNames()).write.mode("overwrite").parquet(self.path(table))
 
+    def read_audit_day(self, started_at: datetime) -> DataFrame:
+        """Audit rows of runs that started on the day of ``started_at``; other days are pruned."""
+        dated = T.StructType([*AUDIT_LOG_SCHEMA, T.StructField("started_date", T.DateType())])
+        log = self.spark.read.schema(dated).parquet(self.path(AUDIT_LOG))
+        return log.filter(F.col("started_date") == F.to_date(F.lit(started_at))).drop("started_date")
+
     def append_audit(self, rows: DataFrame) -> None:
         log = rows.select(AUDIT_LOG_SCHEMA.fieldNames()).withColumn("started_date", F.to_date("started_at"))
         log.write.mode("append").partitionBy("started_date").parquet(self.path(AUDIT_LOG))

@@ -175,6 +175,28 @@ def test_gate_and_failed_runs_leave_an_audit_row(spark, folder):
     ]
 
 
+def test_a_failing_append_is_audited_with_what_has_landed(spark, folder, monkeypatch):
+    landing, root = write_landing(folder), os.path.join(folder, "lake")
+    append = Layers.append
+
+    def failing(self, table, batch):
+        if table == "raw_monthly_product_sales":
+            raise OSError("disk full")
+        append(self, table, batch)
+
+    monkeypatch.setattr(Layers, "append", failing)
+    with pytest.raises(OSError, match="disk full"):
+        run_refinery(spark, landing, root, run_id="torn")
+    log = Layers(spark, root).read(AUDIT_LOG)
+    assert rows(log, "status", "source_kind", "staging_rows_loaded", "raw_rows_loaded") == [
+        ("FAILED", "monthly_product_sales", 9, 6),
+        ("FAILED", None, 25, 22),
+        ("LOADED", "author_conditions", 4, 4),
+        ("LOADED", "ep_statement_detail", 6, 6),
+        ("LOADED", "product_master", 6, 6),
+    ]
+
+
 def test_zero_source_rows_fail_even_without_the_flag(spark, folder):
     landing = write_landing(
         folder, pm=[["", "x"] + [""] * 9], ac=[["", "x"] + [""] * 17], ep=EP_ROWS[:2], ms=MS_ROWS[:2]
