@@ -132,8 +132,11 @@ def extract_text(html: str | None, model: ContentModel) -> str:
 
 def labelled_pages(pages: DataFrame, html_column: str = "html", max_pages: int = 400) -> list[tuple[list[Node], list[bool]]]:
     """Trees and labels of at most ``max_pages`` pages with an article element, and of the seed pages."""
-    rows = only(pages, html=html_column).filter(F.col("html").contains("<article")).distinct()
-    sample = [r["html"] for r in rows.orderBy(F.xxhash64("html")).limit(max_pages).collect()]
+    rows = only(pages, html=html_column).filter(F.col("html").contains("<article")).withColumn("place", F.xxhash64("html"))
+    # Hashes are chosen first: no page travels but the few that are taken.
+    chosen = [r["place"] for r in rows.select("place").distinct().orderBy("place").limit(max_pages).collect()]
+    taken = rows.filter(F.col("place").isin(chosen)).groupBy("place").agg(F.min("html").alias("html"))
+    sample = [r["html"] for r in taken.orderBy("place").collect()]
     trees = [parse_page(html) for html in [*sample, *SEED_PAGES]]
     return [(nodes, page_labels(nodes)) for nodes in trees]
 
