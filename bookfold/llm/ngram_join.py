@@ -5,8 +5,8 @@ A document is its set of distinct runs of ``width`` words (the whole sequence if
 
 *Sketch.* A set's hashes are XORed into a bit sketch: each hash has a chunk and a place in it, and each element flips one
 place. Sets that differ in d elements have sketches that differ in at most d places, hence in at most d chunks. A chunk is
-a word of 2^64 virtual bits kept as the XOR of its hashes; a second, dense sketch of ``DENSE_BITS`` bits bounds the
-symmetric difference from below by its Hamming distance.
+a word of 2^64 virtual bits kept as the XOR of its hashes. Two more sketches bound the symmetric difference from below by
+their Hamming distance: a dense one of ``DENSE_BITS`` bits, and a broad one of at least two bits an element.
 
 *Pigeonhole per size band.* Linked sets of n elements (the smaller) differ in at most ``D = n (100 - percent) / percent``
 elements. A size band has one number of chunks; a set with K non-empty chunks shares K - D of them at least with any
@@ -16,11 +16,11 @@ Sets that share fewer than the guaranteed number of keys with others have no par
 
 *Groups without all pairs.* Equal sets are one node from the start. Within a key, every set is first tried against the
 smallest one there (stars); verified links are contracted to components; after that only pairs of different components
-that still share a key are tried, and only those whose dense sketches allow a link. No link between
-components is lost, and pairs inside a component are never listed.
+that still share a key are tried, and only those whose dense sketches allow a link and that share the guaranteed number of
+keys. No link between components is lost, and pairs inside a component are never listed.
 
-*Verification* fetches exact sets of the candidates only: a scan keeps the documents whose ids fall in a bitmap of fixed
-size, and the exact join follows.
+*Verification* first compares the broad sketches, a thirtieth of the sets' size. Exact sets are fetched for the pairs
+that are left: a scan keeps the documents whose ids fall in a bitmap of fixed size, and the exact join follows.
 
 Edge cases: null or empty texts, or texts without words, have the empty set and link with nothing. Rows without an id get
 no component (null) and link nothing. Rows that share an id and differ in text are separate rows of one document: their
@@ -104,12 +104,24 @@ def dense_sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(parity, bitorder="little").view(np.uint64)
 
 
+def broad_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity sketch with two to four bits an element, 64 at least; its size is a power of two."""
+    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    parity = (np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(parity, bitorder="little").view(np.uint64)
+
+
+def folded_to(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A broad sketch brought to a smaller size: places that coincide there are XORed."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+
+
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(shingle_sequence(words_of(text), width))
 
 
 def _sketched(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n, two halves of the set's fingerprint, keys, dense sketch."""
+    """doc_id, n, two halves of the set's fingerprint, keys, dense and broad sketch."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.empty(0, np.uint64)
@@ -124,12 +136,13 @@ def _sketched(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     pa.array(prints[:, 1].copy().view(np.int64)),
                     long_lists([sketch_keys(s, percent) if len(s) else none for s in sets]),
                     long_lists([dense_sketch(s) if len(s) else none for s in sets]),
+                    long_lists([broad_sketch(s) if len(s) else none for s in sets]),
                 ],
-                names=["doc_id", "n", "print1", "print2", "keys", "dense"],
+                names=["doc_id", "n", "print1", "print2", "keys", "dense", "broad"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(sketch, f"doc_id {kind}, n long, print1 long, print2 long, keys array<long>, dense array<long>")
+    return rows.mapInArrow(sketch, f"doc_id {kind}, n long, print1 long, print2 long, keys array<long>, dense array<long>, broad array<long>")
 
 
 def id_bitmap(ids: DataFrame) -> bytes:
@@ -166,6 +179,34 @@ def exact_sets(rows: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return fetched.join(ids.select(F.col("id").alias("set_id")), "set_id", "left_semi")
 
 
+def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and broad sketches allow a link."""
+    both = pairs
+    for side in "ab":
+        both = both.join(sketches.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("broad").alias(f"broad_{side}")), side)
+    both = both.filter(_near("n_a", "n_b", percent))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            apart = np.empty(batch.num_rows, np.int64)
+            for i, (a, b) in enumerate(zip(batch.column("broad_a"), batch.column("broad_b"))):
+                x, y = np.asarray(a.values).view(np.uint64), np.asarray(b.values).view(np.uint64)
+                words = min(len(x), len(y))
+                apart[i] = np.bitwise_count(folded_to(x, words) ^ folded_to(y, words)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(apart * (100 + percent) <= total * (100 - percent)))
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    return both.mapInArrow(compared, f"a {kind}, b {kind}")
+
+
+def _linked(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, width: int, percent: int, name: str) -> DataFrame:
+    """The pairs (a, b) that link: by their broad sketches, then by their exact sets."""
+    left = stored(_plausible(pairs, sketches, percent).distinct(), f"{name}-pairs")
+    sets = exact_sets(rows, left.select(F.col("a").alias("id")).union(left.select("b")).distinct(), width)
+    return stored(_verified(left, stored(sets, f"{name}-sets"), percent), f"{name}-links")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by their exact sets."""
     both = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("set_a")), "a")
@@ -175,14 +216,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(shared * 100 >= union * percent).select("a", "b")
 
 
-def _hamming(left: Column, right: Column) -> Column:
-    return F.aggregate(F.zip_with(left, right, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, bits: total + bits)
+def _near(n_a: str, n_b: str, percent: int) -> Column:
+    return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
 
 
-def _may_link(n_a: Column, n_b: Column, dense_a: Column, dense_b: Column, percent: int) -> Column:
+def _may_link(percent: int) -> Column:
     """Sizes within the ratio, and a Hamming distance that the sizes allow: |a ^ b| <= (n_a + n_b)(100 - p)/(100 + p)."""
-    near = (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
-    return near & (_hamming(dense_a, dense_b) * (100 + percent) <= (n_a + n_b) * (100 - percent))
+    # Written out word by word: higher-order functions would leave the compiled join condition.
+    apart = sum((F.bit_count(F.col("dense_a")[i].bitwiseXOR(F.col("dense_b")[i])) for i in range(DENSE_BITS // 64)), F.lit(0))
+    return _near("n_a", "n_b", percent) & (apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -203,12 +245,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_colum
     alive = stored(alive.select("set_id", "n"), "alive")
     keys = stored(shared.join(alive.select("set_id"), "set_id", "left_semi"), "keys")
 
-    exact = stored(exact_sets(rows, alive.select(F.col("set_id").alias("id")).distinct(), width), "sets")
-    links = _star_links(keys, exact, percent)
+    sketched = full.select(F.col("doc_id").alias("set_id"), "n", "dense", "broad")
+    sketched = stored(sketched.join(alive, ["set_id", "n"], "left_semi"), "live-sketches")
+    links = _linked(_stars(keys), rows, sketched, width, percent, "star")
     named = components(links)
-    dense = sketches.select("doc_id", "n", "dense").filter("n > 0")
-    dense = stored(dense.join(alive.select(F.col("set_id").alias("doc_id"), "n"), ["doc_id", "n"], "left_semi"), "dense").withColumnRenamed("doc_id", "set_id")
-    links = links.union(_cross_links(_marked(keys, named), dense, exact, percent))
+    links = links.union(_linked(_cross_pairs(_marked(keys, named), sketched, percent), rows, sketched, width, percent, "cross"))
     named = components(links)
 
     members = sketches.select("doc_id", *fingerprint)
@@ -226,20 +267,19 @@ def _marked(keys: DataFrame, named: DataFrame) -> DataFrame:
     return stored(marked.join(mixed_keys.select("key"), "key", "left_semi"), "mixed-keys")
 
 
-def _star_links(keys: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
-    """Links of each set with the centre, first in its keys, with which it shares most keys."""
+def _stars(keys: DataFrame) -> DataFrame:
+    """Each set with the centre, first in its keys, with which it shares most keys."""
     first = keys.groupBy("key").agg(F.min("set_id").alias("a"))
     centred = keys.join(first, "key").filter("a <> set_id")
     shared = centred.groupBy("set_id", "a").agg(F.count("*").alias("keys"))
-    best = shared.groupBy(F.col("set_id").alias("b")).agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a"))
-    return stored(_verified(stored(best.select("a", "b"), "stars"), exact, percent), "star-links")
+    return shared.groupBy(F.col("set_id").alias("b")).agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a")).select("a", "b")
 
 
-def _cross_links(marked: DataFrame, dense: DataFrame, exact: DataFrame, percent: int) -> DataFrame:
-    """Links between sets of different components that share a key."""
-    whole = stored(marked.join(dense, ["set_id", "n"]), "marked-sketches")
+def _cross_pairs(marked: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Sets of different components that share as many keys as linked sets do."""
+    whole = stored(marked.join(sketches.select("set_id", "n", "dense"), ["set_id", "n"]), "marked-sketches")
     left, right = (whole.select([F.col(c).alias(f"{c}_{side}") for c in whole.columns]) for side in "ab")
-    may = _may_link(F.col("n_a"), F.col("n_b"), F.col("dense_a"), F.col("dense_b"), percent)
-    joined = left.join(right, (F.col("key_a") == F.col("key_b")) & (F.col("component_a") < F.col("component_b")) & may)
-    pairs = joined.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
-    return stored(_verified(stored(pairs, "cross-pairs"), exact, percent), "cross-links")
+    joined = left.join(right, (F.col("key_a") == F.col("key_b")) & (F.col("component_a") < F.col("component_b")) & _may_link(percent))
+    pairs = joined.groupBy(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).agg(F.count("*").alias("keys"), F.min(F.least("n_a", "n_b")).alias("n"))
+    guaranteed = F.lit(1) + F.floor(F.floor(F.col("n") * (100 - percent) / percent) / 8)
+    return pairs.filter(F.col("keys") >= guaranteed).select("a", "b")

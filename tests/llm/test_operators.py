@@ -106,7 +106,7 @@ def test_near_duplicates_at_the_threshold(spark):
 
 
 def test_pigeonhole_holds():
-    """Linked sets share at least the guaranteed number of keys, and their dense sketches differ in no more places than the sets."""
+    """Linked sets share at least the guaranteed number of keys, and their sketches differ in no more places than the sets."""
     rng = np.random.default_rng(3)
     for size in (1, 4, 8, 50, 127, 128, 200, 447, 448, 1000, 5000):
         for _ in range(20):
@@ -118,9 +118,14 @@ def test_pigeonhole_holds():
             distance = len(base) + len(other) - 2 * shared
             dense = np.bitwise_count(ngram_join.dense_sketch(base) ^ ngram_join.dense_sketch(other)).sum()
             assert dense <= distance
+            if len(other):
+                broad = [ngram_join.broad_sketch(s) for s in (base, other)]
+                folded = [ngram_join.folded_to(b, min(map(len, broad))) for b in broad]
+                assert np.bitwise_count(folded[0] ^ folded[1]).sum() <= distance
             if len(other) and 100 * shared >= 80 * (len(base) + len(other) - shared):
                 common = np.intersect1d(ngram_join.sketch_keys(base, 80), ngram_join.sketch_keys(other, 80))
-                assert len(common) >= max(ngram_join.keys_shared(len(base), 80), ngram_join.keys_shared(len(other), 80)) or len(common) >= 1 and min(len(base), len(other)) < 40
+                assert len(common) >= max(ngram_join.keys_shared(len(base), 80), ngram_join.keys_shared(len(other), 80))
+                assert len(common) >= 1 + ngram_join.spare_keys(min(len(base), len(other)), 80)
 
 
 def test_components_of_chains_and_stars(spark):
