@@ -398,6 +398,20 @@ def test_passage_with_changes_is_found_and_clean_text_is_not(spark):
     assert spans[1] == (200, 120, True) and spans[2] == (0, 120, False) and spans[3] == (60, 122, False)
 
 
+def test_each_passage_survives_once(spark):
+    rng = random.Random(11)
+    some = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+    b, c, line = some(60), some(120), some(7)
+    rows = [(1, some(90) + b + some(80)), (5, some(150) + b + c + some(200)), (9, b + c + some(400)), (20, some(30) + line * 30 + some(30)), (21, line * 12 + some(90)), (30, some(40) + b + some(70))]
+    rows.append((31, rows[-1][1]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    spans = {(r["doc_id"], r["start_word"], r["n_words"], r["is_first"]) for r in substring_dedup.repeated_passages(docs).collect()}
+    assert {(1, 90, 60, True), (5, 150, 60, False), (5, 150, 180, True), (9, 0, 180, False), (30, 40, 60, False), (30, 0, 170, True), (31, 0, 170, False)} <= spans
+    left = " ".join(t + " |" for t in dict(stages.drop_repeated_passages(spark, docs, "").collect()).values())
+    for passage in (b, c, rows[-1][1][:40], rows[-1][1][100:], *((line * 9)[k : k + 50] for k in range(7))):
+        assert left.count(" ".join(passage)) == 1, passage
+
+
 def test_cutting_words():
     text = " a  b\nc d\te "
     assert stages.without_words(text, [(1, 3)]) == " a  d\te "
