@@ -398,6 +398,19 @@ def test_passage_with_changes_is_found_and_clean_text_is_not(spark):
     assert spans[1] == (200, 120, True) and spans[2] == (0, 120, False) and spans[3] == (60, 122, False)
 
 
+def test_runs_count_by_themselves_where_joins_fail():
+    fresh = iter(range(10_000, 99_999))
+    new = lambda n: np.array([next(fresh) for _ in range(n)], np.int32)
+    line, five = np.tile(new(10), 20), new(5)
+    a, b = np.concatenate([line, new(20), five]), np.concatenate([line, new(20), five])
+    assert substring_dedup.similar_stretches(a, b, 0, 46, 80) == [(0, 200, 0, 200)]
+    run, next_run = new(50), new(30)
+    a, b = np.concatenate([run, new(10), next_run]), np.concatenate([run, new(14), next_run])
+    assert substring_dedup.similar_stretches(a, b, 0, 46, 80) == [(0, 50, 0, 50)]
+    text = np.concatenate([five[:3], five[:3], five[:3], new(60), five[:3], five[:3]])
+    assert substring_dedup.similar_stretches(text, text, 3, 46, 80, before=0) == []
+
+
 def test_each_passage_survives_once(spark):
     rng = random.Random(11)
     some = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
