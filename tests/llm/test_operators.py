@@ -411,6 +411,20 @@ def test_runs_count_by_themselves_where_joins_fail():
     assert substring_dedup.similar_stretches(text, text, 3, 46, 80, before=0) == []
 
 
+def test_near_copies_with_insertions(spark):
+    rng = random.Random(12)
+    some = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+    rows, expected = [], {}
+    for length, inserted in ((80, 5), (80, 10), (95, 8), (400, 60)):
+        passage, more = some(length), some(inserted)
+        rows += [(len(rows), some(70) + passage + some(90)), (len(rows) + 1, some(30) + passage[: length // 2] + more + passage[length // 2 :] + some(50))]
+        expected |= {len(rows) - 2: {(70, length, True)}, len(rows) - 1: {(30, length + inserted, False)}}
+    found = {}
+    for r in substring_dedup.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect():
+        found.setdefault(r["doc_id"], set()).add((r["start_word"], r["n_words"], r["is_first"]))
+    assert found == expected
+
+
 def test_each_passage_survives_once(spark):
     rng = random.Random(11)
     some = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
