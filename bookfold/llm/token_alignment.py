@@ -27,7 +27,9 @@ import hashlib
 import json
 import os
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +39,17 @@ from pyspark.sql import functions as F
 
 from bookfold.llm.bpe import byte_symbols
 from bookfold.llm.common import arrow_rows, only, stored
+from bookfold.llm.pieces import BARE, piece_text, pieces_of
 
 BLOCK = 1 << 16
 FRAGMENT_LINKS = 2_000_000
 #: Links of one group that are spelled out; larger groups are counted by distinct ids.
 _PLAIN_GROUP = 4096
-_ROWS = 32
+#: Pieces above which the memory of a worker starts anew.
+MEMO_PIECES = 500_000
+_ROWS = 128
+#: Pieces read as one text.
+_TOGETHER = 256
 _DENSE = BLOCK // 16
 _DOC = {"doc_id": None, "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string()}
 _POST = {"pair": pa.int64(), "plane": pa.int32(), "dense": pa.bool_(), "places": pa.binary()}
@@ -53,8 +60,59 @@ _SCHEMA = (
 )
 
 
+@dataclass
+class Read:
+    """What was read of some items (texts or pieces): counts and spelled groups of each, and the links of all, sorted by item."""
+
+    valid: np.ndarray
+    counts: np.ndarray
+    spelled: list[bytes]
+    item: np.ndarray
+    pair: np.ndarray
+    times: np.ndarray
+
+
+class PieceMemory:
+    """Pieces by number, with their counts, spelled groups and links. New pieces are noted in ``fresh`` when looked up."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+        self.valid = np.empty(0, bool)
+        self.counts = np.empty((0, 4), np.int64)
+        self.spelled: list[bytes] = []
+        self.starts = np.zeros(1, np.int64)
+        self.pair = np.empty(0, np.int64)
+        self.times = np.empty(0, np.int64)
+        self.numbers: dict[str, int] = _Numbers(self.fresh)
+
+    def learn(self, read: Read) -> None:
+        """Takes in what was read of the fresh pieces."""
+        self.fresh.clear()
+        self.valid = np.concatenate([self.valid, read.valid])
+        self.counts = np.concatenate([self.counts, read.counts])
+        self.spelled += read.spelled
+        sizes = np.bincount(read.item, minlength=len(read.valid))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.pair, self.times = np.concatenate([self.pair, read.pair]), np.concatenate([self.times, read.times])
+
+
+class _Numbers(dict):
+    def __init__(self, fresh: list[str]):
+        self._fresh = fresh
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self._fresh.append(piece)
+        return number
+
+
 class Aligner:
-    """Ids, groups and links of batches of texts."""
+    """Ids, groups and links of batches of texts.
+
+    A text without runs of white space is parted at its spaces and newlines, which no token of either crosses; what was
+    read of a piece is kept, up to ``MEMO_PIECES`` pieces. Other texts, and all if the model of B has pieces that cross a
+    space or a newline, are read whole.
+    """
 
     def __init__(self, vocabulary: str, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
@@ -68,77 +126,184 @@ class Aligner:
         self._b = SentencePieceProcessor(model_proto=model)
         symbols = byte_symbols()
         tokens = {i: token for token, i in json.loads(vocabulary)["model"]["vocab"].items()}
-        self._a_bytes = [bytes(symbols[c] for c in tokens[i]) if set(tokens.get(i, "")) <= symbols.keys() else b"" for i in range(max(tokens) + 1)]
-        self._a_bytes = [b if i in tokens else b"" for i, b in enumerate(self._a_bytes)]
-        self._b_bytes = [self._piece_bytes(i) for i in range(self._b.get_piece_size())]
+        self._a_bytes = [bytes(symbols[c] for c in tokens[i]) if set(tokens.get(i, "\n")) <= symbols.keys() else b"" for i in range(max(tokens) + 1)]
+        pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
+        self._b_bytes = [bytes([int(p[1:-1], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self._a_sizes, self._b_sizes = (np.array([*map(len, held)], np.int64) for held in (self._a_bytes, self._b_bytes))
-        most = max(len(self._a_bytes), len(self._b_bytes))
-        if most > 1 << 16:
+        self._most = max(len(self._a_bytes), len(self._b_bytes))
+        if self._most > 1 << 16:
             raise ValueError("ids must fit 16 bits")
-        self._most = most
-        self._written = [f"{i}{after}".encode() for after in ",|;" for i in range(most)]
-
-    def _piece_bytes(self, i: int) -> bytes:
-        piece = self._b.id_to_piece(i)
-        return bytes([int(piece[1:-1], 16)]) if self._b.is_byte(i) else piece.replace("▁", " ").encode()
+        self._written = [f"{i}{after}".encode() for after in (",", "|", ";", ";\n") for i in range(self._most)]
+        self._parted = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
+        self._memory = PieceMemory()
 
     def read(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         """For each text n_a, n_b, n_groups, n_links, groups_sha256; then the distinct (pair << 16 | place of the text)
         of all links, sorted, and how often each stands."""
         rows: list[tuple] = [(0, 0, 0, 0, "")] * len(texts)
-        asked = [k for k, text in enumerate(texts) if text]
-        a_read = self._a.encode_batch_fast([" " + texts[k] for k in asked], add_special_tokens=False) if asked else []
-        b_read = self._b.encode([texts[k] for k in asked], num_threads=1) if asked else []
-        valid, a_ids, b_ids = [], [], []
-        for k, a, b in zip(asked, a_read, b_read):
-            whole = (" " + texts[k]).encode()
-            a = a.ids
-            if b"".join(map(self._a_bytes.__getitem__, a)) == whole and b"".join(map(self._b_bytes.__getitem__, b)) == whole:
-                valid.append(k)
-                a_ids.append(np.array(a, np.int64))
-                b_ids.append(np.array(b, np.int64))
-        if not valid:
-            return rows, np.empty(0, np.int64), np.empty(0, np.int64)
-        a_counts, b_counts = (np.array([*map(len, ids)]) for ids in (a_ids, b_ids))
-        a, b = np.concatenate(a_ids), np.concatenate(b_ids)
-        # Both read the same bytes, so ends can be compared over all texts at once.
+        whole, parted, sizes, numbers = [], [], [], []
+        if len(self._memory.numbers) > MEMO_PIECES:
+            self._memory = PieceMemory()
+        number_of = self._memory.numbers.__getitem__
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            pieces = pieces_of(" " + text) if self._parted and "▁" not in text else None
+            if pieces is None:
+                whole.append(k)
+            else:
+                parted.append(k)
+                sizes.append(len(pieces) - 1)
+                numbers += map(number_of, pieces[1:])
+        found = []
+        if parted:
+            found.append(self._from_pieces(rows, whole, np.array(parted), np.array(sizes), np.array(numbers)))
+        if whole:
+            asked = [texts[k] for k in whole]
+            read = self._grouped(asked, [[len(t.encode()) + 1] for t in asked])
+            self._note(rows, whole, read.valid, read.counts, read.spelled)
+            found.append((read.pair << 16 | np.array(whole)[read.item], read.times))
+        return rows, *(_added(found) if found else (np.empty(0, np.int64),) * 2)
+
+    @staticmethod
+    def _note(rows: list[tuple], places: list[int], valid: np.ndarray, counts: np.ndarray, spelled: list[bytes]) -> None:
+        for k, good, numbers, text in zip(places, valid.tolist(), counts.tolist(), spelled):
+            if good:
+                rows[k] = (*numbers, hashlib.sha256(text[:-1]).hexdigest())
+
+    def _from_pieces(self, rows: list[tuple], whole: list[int], parted: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Adds up the pieces of the ``parted`` texts; a text with a piece that could not be read goes to ``whole``."""
+        memory = self._memory
+        if memory.fresh:
+            memory.learn(self._read_pieces(memory.fresh))
+        starts = np.cumsum(sizes) - sizes
+        good = np.logical_and.reduceat(memory.valid[numbers], starts)
+        counts = np.add.reduceat(memory.counts[numbers], starts)
+        spelled = memory.spelled.__getitem__
+        listed = numbers.tolist()
+        texts = [b"".join(map(spelled, listed[start : start + size])) for start, size in zip(starts.tolist(), sizes.tolist())]
+        self._note(rows, parted.tolist(), good, counts, texts)
+        whole += parted[~good].tolist()
+        wanted = np.repeat(good, sizes)
+        numbers, text = numbers[wanted], np.repeat(parted, sizes)[wanted]
+        first, held = memory.starts[numbers], memory.starts[numbers + 1] - memory.starts[numbers]
+        at = np.repeat(first - (np.cumsum(held) - held), held) + np.arange(held.sum())
+        return memory.pair[at] << 16 | np.repeat(text, held), memory.times[at]
+
+    def _read_pieces(self, pieces: list[str]) -> Read:
+        """Pieces are read many to a text, each behind a space, or a newline if it is bare; those that hold newlines
+        themselves stand alone. Pieces of a text that could not be read are read again one by one."""
+        together = [k for k, p in enumerate(pieces) if "\n" not in p]
+        lots = [together[at : at + _TOGETHER] for at in range(0, len(together), _TOGETHER)] + [[k] for k, p in enumerate(pieces) if "\n" in p]
+        read = self._read_lots(pieces, lots)
+        bad = np.flatnonzero(~read.valid).tolist()
+        if not bad:
+            return read
+        again = self._read_lots(pieces, [[k] for k in bad])
+        read.valid[bad], read.counts[bad] = again.valid[bad], again.counts[bad]
+        for k in bad:
+            read.spelled[k] = again.spelled[k]
+        parts = [np.concatenate(c) for c in ((read.item, again.item), (read.pair, again.pair), (read.times, again.times))]
+        order = np.argsort(parts[0], kind="stable")
+        return Read(read.valid, read.counts, read.spelled, *(c[order] for c in parts))
+
+    def _read_lots(self, pieces: list[str], lots: list[list[int]]) -> Read:
+        """A lot begins with the word x. A newline before a piece that holds newlines would run into them, so such a
+        piece, if bare, is read behind an x without space; it is the only one of its lot."""
+        texts, sizes, owners = [], [], []
+        for lot in lots:
+            parts, sizes_of, owner = ["x"], [2], [-1]
+            for k in lot:
+                piece, before = pieces[k], " "
+                if piece[:1] == BARE:
+                    piece, before = piece[1:], "" if "\n" in piece else "\n"
+                parts.append(before + piece)
+                if before == "\n":
+                    sizes_of.append(1)
+                    owner.append(-1)
+                sizes_of.append(len(piece.encode()) + (before == " "))
+                owner.append(k)
+            texts.append("".join(parts))
+            sizes.append(sizes_of)
+            owners += owner
+        read = self._grouped(texts, sizes)
+        owner = np.array(owners)
+        own = owner >= 0
+        valid, counts, spelled = np.zeros(len(pieces), bool), np.zeros((len(pieces), 4), np.int64), [b""] * len(pieces)
+        valid[owner[own]], counts[owner[own]] = read.valid[own], read.counts[own]
+        for k, text in zip(owners, read.spelled):
+            if k >= 0:
+                spelled[k] = text
+        kept = own[read.item]
+        item = owner[read.item[kept]]
+        order = np.argsort(item, kind="stable")
+        return Read(valid, counts, spelled, item[order], read.pair[kept][order], read.times[kept][order])
+
+    def _grouped(self, texts: list[str], item_sizes: list[list[int]]) -> Read:
+        """Reads texts and parts what was read into items of so many bytes of the space and the text. Items of a text
+        whose tokens do not join to it, or do not end where its items end, are not valid."""
+        a_read = [e.ids for e in self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)] if texts else []
+        b_read = self._b.encode(texts, num_threads=1) if texts else []
+        good = []
+        for text, a, b in zip(texts, a_read, b_read):
+            whole = (" " + text).encode()
+            good.append(b"".join(map(self._a_bytes.__getitem__, a)) == whole == b"".join(map(self._b_bytes.__getitem__, b)))
+        return self._cut(a_read, b_read, good, item_sizes)
+
+    def _cut(self, a_read: list[list[int]], b_read: list[list[int]], good: list[bool], item_sizes: list[list[int]]) -> Read:
+        n_items = [*map(len, item_sizes)]
+        valid = np.repeat(np.array(good, bool), n_items)
+        counts, spelled = np.zeros((len(valid), 4), np.int64), [b""] * len(valid)
+        read = [k for k, held in enumerate(good) if held]
+        if not read:
+            return Read(valid, counts, spelled, *(np.empty(0, np.int64),) * 3)
+        a, b = (np.fromiter(chain.from_iterable(ids[k] for k in read), np.int64) for ids in (a_read, b_read))
+        item_ends = np.cumsum(np.fromiter(chain.from_iterable(item_sizes[k] for k in read), np.int64))
+        # Both read the same bytes, so ends can be compared over all items at once.
         a_ends, b_ends = np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b])
         a_cuts = b_ends[np.searchsorted(b_ends, a_ends)] == a_ends
         b_cuts = a_ends[np.searchsorted(a_ends, b_ends)] == b_ends
         a_group, b_group = (np.cumsum(cuts) - cuts for cuts in (a_cuts, b_cuts))
         in_a, in_b = np.bincount(a_group), np.bincount(b_group)
         a_first, b_first = (np.cumsum(held) - held for held in (in_a, in_b))
-        doc_of = np.repeat(np.array(valid), a_counts)[a_first]
         links = in_a * in_b
-
-        groups_before = np.searchsorted(doc_of, valid)
-        n_groups = np.diff([*groups_before, len(doc_of)])
-        n_links = np.add.reduceat(links, groups_before)
+        group_ends = a_ends[a_cuts]
+        # Items without bytes end where the one before them ends, and get nothing.
+        item_of = np.searchsorted(item_ends, group_ends)
+        names = np.flatnonzero(valid)
+        crossed = (item_ends > 0) & ~np.isin(item_ends, group_ends)
+        if crossed.any():
+            text_of = np.repeat(np.arange(len(good)), n_items)
+            bad = set(text_of[names[crossed]].tolist())
+            return self._cut(a_read, b_read, [held and k not in bad for k, held in enumerate(good)], item_sizes)
+        item_of = names[item_of]
+        first = np.flatnonzero(np.diff(item_of, prepend=-1))
+        numbers = [np.add.reduceat(in_a, first), np.add.reduceat(in_b, first), np.diff([*first, len(item_of)]), np.add.reduceat(links, first)]
+        counts[item_of[first]] = np.stack(numbers, axis=1)
+        last = np.zeros(len(item_of), np.int64)
+        last[np.append(first[1:], len(item_of)) - 1] = 1
         sequence = np.empty(len(a) + len(b), np.int64)
         sequence[np.arange(len(a)) + b_first[a_group]] = a + self._most * a_cuts
-        sequence[np.arange(len(b)) + (a_first + in_a)[b_group]] = b + 2 * self._most * b_cuts
-        stops = np.cumsum(a_counts + b_counts)
-        for k, n_a, n_b, n_g, n_l, start, stop in zip(valid, a_counts.tolist(), b_counts.tolist(), n_groups.tolist(), n_links.tolist(), [0, *stops.tolist()], stops.tolist()):
-            spelled = b"".join(map(self._written.__getitem__, sequence[start:stop].tolist()))
-            rows[k] = (n_a, n_b, n_g, n_l, hashlib.sha256(spelled[:-1]).hexdigest())
+        sequence[np.arange(len(b)) + (a_first + in_a)[b_group]] = b + (2 + last[b_group]) * self._most * b_cuts
+        for k, text in zip(item_of[first].tolist(), b"".join(map(self._written.__getitem__, sequence.tolist())).split(b"\n")):
+            spelled[k] = text
 
         times = np.where(links <= _PLAIN_GROUP, in_b, 0)[a_group]
         place = np.repeat(b_first[a_group] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        keys = (np.repeat(a, times) << 16 | b[place]) << 16 | np.repeat(doc_of[a_group], times)
-        keys, counts = np.unique(keys, return_counts=True)
-        parts = [(keys, counts)]
+        parts = [(np.repeat(item_of[a_group], times) << 32 | np.repeat(a, times) << 16 | b[place], np.ones(len(place), np.int64))]
         for g in np.flatnonzero(links > _PLAIN_GROUP):
             ua, na = np.unique(a[a_first[g] : a_first[g] + in_a[g]], return_counts=True)
             ub, nb = np.unique(b[b_first[g] : b_first[g] + in_b[g]], return_counts=True)
-            parts.append((((ua[:, None] << 16 | ub) << 16 | doc_of[g]).ravel(), (na[:, None] * nb).ravel()))
-        if len(parts) > 1:
-            keys, counts = _added(parts)
-        return rows, keys, counts
+            parts.append(((item_of[g] << 32 | ua[:, None] << 16 | ub).ravel(), (na[:, None] * nb).ravel()))
+        keys, times = _added(parts)
+        return Read(valid, counts, spelled, keys >> 32, keys & 0xFFFFFFFF, times)
 
 
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with the sums of their counts."""
     keys, counts = (np.concatenate(c) for c in zip(*parts))
+    if not len(keys):
+        return keys, counts
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.diff(keys, prepend=-1))
@@ -281,22 +446,28 @@ def merged_postings(postings: DataFrame) -> DataFrame:
     return rows.mapInArrow(merge, "pair long, block long, plane int, dense boolean, places binary")
 
 
+def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """How many places each row has, and the places of all rows."""
+    column, dense = batch.column("places"), batch.column("dense").to_numpy(zero_copy_only=False)
+    if dense.any():
+        held = [places_in(d, p) for d, p in zip(dense.tolist(), column.to_pylist())]
+        return np.array([*map(len, held)]), np.concatenate(held)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return np.diff(offsets) // 2, np.frombuffer(data, "<u2", (offsets[-1] - offsets[0]) // 2, offsets[0]) if data else np.empty(0, "<u2")
+
+
 def _or_merged(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+    """The runs of rows from each start on, merged. A union of places is an OR of bitmaps."""
     if len(starts) == batch.num_rows:
         return batch
+    sizes, places = _places(batch)
+    run = np.repeat(np.arange(len(starts)), np.diff([*starts, batch.num_rows]))
+    keys = np.unique(np.repeat(run, sizes) << 16 | places)
+    _, dense, packed = packed_places(keys >> 16, keys & 0xFFFF)
     merged = batch.take(pa.array(starts))
-    dense, places = merged.column("dense").to_pylist(), merged.column("places").to_pylist()
-    stops = np.concatenate([starts[1:], [batch.num_rows]])
-    for k in np.flatnonzero(stops - starts > 1):
-        some = batch.slice(starts[k], stops[k] - starts[k])
-        bits = np.zeros(BLOCK // 8, np.uint8)
-        for is_dense, data in zip(some.column("dense").to_pylist(), some.column("places").to_pylist()):
-            bits |= np.frombuffer(data if is_dense else plain_bitmap(np.frombuffer(data, "<u2")), np.uint8)
-        held = places_in(True, bits.tobytes())
-        dense[k] = len(held) > _DENSE
-        places[k] = bits.tobytes() if dense[k] else held.tobytes()
     columns = [merged.column(c) for c in ("pair", "block", "plane")]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(dense, pa.bool_()), pa.array(places, pa.binary())], names=["pair", "block", "plane", "dense", "places"])
+    return pa.RecordBatch.from_arrays([*columns, dense, packed], names=["pair", "block", "plane", "dense", "places"])
 
 
 def pair_counts(postings: DataFrame) -> DataFrame:
@@ -340,9 +511,7 @@ def _add_postings(sums: np.ndarray, batch: pa.RecordBatch) -> None:
     weights = np.where(planes < 0, 1, 1 << np.maximum(planes, 0).astype(np.int64))
     counts = batch.column("n_docs").to_numpy() * weights
     best = batch.column("best").to_numpy(zero_copy_only=False) * weights
-    held = [places_in(d, p) for d, p in zip(batch.column("dense").to_pylist(), batch.column("places").to_pylist())]
-    sizes = [*map(len, held)]
-    places = np.concatenate(held)
+    sizes, places = _places(batch)
     sums[0] += np.bincount(places, minlength=BLOCK)
     # Sums of one batch stay far below 2^53, so doubles hold them exactly.
     sums[1] += np.bincount(places, np.repeat(best, sizes), BLOCK).astype(np.int64)

@@ -84,10 +84,10 @@ def test_query(spark, libraries):
 
 def test_odd_texts_in_small_fragments(spark, libraries, folder):
     """Bitmaps of one pair and block come from several fragments."""
-    docs = odd_documents()
+    docs = odd_documents() * 3
     expected, held, links = plain(libraries, docs)
-    frame = spark.createDataFrame([(i, t, "x", 2) for i, t in docs], "doc_id long, text string, pair string, block int").repartition(2)
-    token_alignment.write_alignment(frame, folder + "/a", vocabulary_path(), vocabulary_path("piece_bpe_32k.model"), fragment_links=300)
+    frame = spark.createDataFrame([(i, t, "x", 2) for i, t in docs], "doc_id long, text string, pair string, block int").coalesce(1)
+    token_alignment.write_alignment(frame, folder + "/a", vocabulary_path(), vocabulary_path("piece_bpe_32k.model"), fragment_links=30)
     postings = token_alignment.read_postings(spark, folder + "/a")
     assert postings.count() > token_alignment.merged_postings(postings).count()
     assert rows_of(token_alignment.aligned_documents(spark, folder + "/a")) == sorted(expected, key=repr)
@@ -126,3 +126,11 @@ def test_fragments_merge_to_one_bitmap(spark):
 def test_empty_table(spark, folder):
     token_alignment.write_alignment(spark.createDataFrame([], "doc_id long, text string"), folder + "/a", vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
     assert token_alignment.aligned_documents(spark, folder + "/a").count() == 0
+
+
+def test_items_that_tokens_cross_are_not_valid():
+    with open(vocabulary_path(), encoding="utf-8") as file, open(vocabulary_path("piece_bpe_32k.model"), "rb") as model:
+        aligner = token_alignment.Aligner(file.read(), model.read())
+    read = aligner._grouped(["good one", "token here", "▁bad"], [[5, 4], [3, 8], [6]])
+    assert read.valid.tolist() == [True, True, False, False, False]
+    assert set(read.item.tolist()) == {0, 1} and read.counts[2:].sum() == 0
