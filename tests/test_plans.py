@@ -10,6 +10,7 @@ from bookfold.operators.dedupe import latest_rows
 from bookfold.operators.enrich import with_master
 from bookfold.operators.files import latest_per_kind
 from bookfold.operators.quality import unmatched_sample
+from bookfold.showcase import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,7 +73,8 @@ def test_no_cross_joins(spark, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
 def test_only_the_chosen_files_are_opened(spark, folder):
