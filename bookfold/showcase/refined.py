@@ -180,3 +180,28 @@ def reloaded_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         refined = refine_reference("product_master", layers.read_month("raw_product_master", MONTH), MONTH)
         layers.replace("source_product_master", refined)
     return comparable(layers.read("source_product_master").drop(_HIDDEN))
+
+
+_TWO_VERSIONS = (
+    f"SELECT 'before' AS seen, * FROM ({sql_reference('product_master')}) WHERE row_number % 2 = 0 "
+    f"UNION ALL SELECT 'after', * FROM ({sql_reference('product_master')})"
+)
+
+
+@query(_TWO_VERSIONS)
+def replaced_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build that fails half way is not seen; the next one is, and the version before it can still be read."""
+    layers = Layers(spark, shared_folder(spark, "versions"))
+    table_name = "source_product_master"
+    refined = refine_reference("product_master", raw_frame(spark, sf_dir, "product_master"), MONTH)
+    layers.replace(table_name, refined.filter("row_number % 2 = 0"))
+    broken = refined.withColumn("title", F.when(F.col("row_number") > 1, F.raise_error(F.lit("the build broke"))).otherwise(F.col("title")))
+    try:
+        layers.replace(table_name, broken)
+    except Exception as problem:
+        if "the build broke" not in str(problem):
+            raise
+    before = layers.read(table_name)
+    layers.replace(table_name, refined)
+    seen = before.withColumn("seen", F.lit("before")).unionByName(layers.read(table_name).withColumn("seen", F.lit("after")))
+    return comparable(seen.drop(_HIDDEN))

@@ -1,5 +1,7 @@
 """The stored tables: Parquet under one root, a folder per layer.
 
+The refined tables and the quality results are replaced as a whole or run by run; they are kept as snapshots.
+
 Staging and raw are partitioned by ``target_month``, the only column reads filter on, and sorted by
 their clustering columns inside each file. Tables are read with their declared schema, so a month
 stays text and an empty table is readable.
@@ -24,6 +26,7 @@ from bookfold.schemas import (
     source_schema,
     staging_schema,
 )
+from bookfold.sources.snapshots import Snapshots
 
 AUDIT_LOG = "pipeline_audit_log"
 QUALITY_RESULTS = "source_quality_results"
@@ -55,22 +58,29 @@ class Layers:
         layer = "audit" if table in (AUDIT_LOG, QUALITY_RESULTS) else table.split("_", 1)[0]
         return f"{self.root}/{layer}/{table}"
 
-    def partition_column(self, table: str) -> str | None:
-        if table in self._cluster:
-            return "target_month"
-        return {AUDIT_LOG: "started_date", QUALITY_RESULTS: "run_id"}.get(table)
+    def partition_column(self, table: str) -> str:
+        return "target_month" if table in self._cluster else "started_date"
+
+    def snapshots(self, table: str) -> Snapshots | None:
+        """The versions of a table that is replaced; None for one that is only appended to."""
+        if table in self._cluster or table == AUDIT_LOG:
+            return None
+        return Snapshots(self.spark, self.path(table), self._schemas[table], "run_id" if table == QUALITY_RESULTS else None)
 
     def ensure(self) -> None:
         """Create every table that does not exist yet; existing ones are left alone."""
         for table, schema in self._schemas.items():
+            if versions := self.snapshots(table):
+                versions.ensure()
+                continue
             empty = self.spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
             if table == AUDIT_LOG:
                 empty = empty.withColumn("started_date", F.to_date("started_at"))
-            writer = empty.write.mode("ignore")
-            column = self.partition_column(table)
-            (writer.partitionBy(column) if column else writer).parquet(self.path(table))
+            empty.write.mode("ignore").partitionBy(self.partition_column(table)).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
+        if versions := self.snapshots(table):
+            return versions.read()
         schema = self._schemas[table]
         return self.spark.read.schema(schema).parquet(self.path(table)).select(schema.fieldNames())
 
@@ -88,9 +98,9 @@ class Layers:
         )
         ordered.write.mode("append").partitionBy("target_month").parquet(self.path(table))
 
-    def replace(self, table: str, rows: DataFrame) -> None:
-        """Swap the whole content; ``rows`` must not read the table itself."""
-        rows.select(self._schemas[table].fieldNames()).write.mode("overwrite").parquet(self.path(table))
+    def replace(self, table: str, rows: DataFrame) -> int:
+        """Swap the whole content; the old one stays readable until the new one is complete. The number of rows."""
+        return self.snapshots(table).replace(rows)
 
     def read_audit_day(self, started_at: datetime) -> DataFrame:
         """Audit rows of runs that started on the day of ``started_at``; other days are pruned."""
@@ -106,5 +116,4 @@ class Layers:
         """Quality results of one run, replacing earlier results of that run, also by none at all."""
         if not _RUN_ID.fullmatch(run_id):
             raise ValueError(f"run id cannot name a partition: {run_id!r}")
-        rows = results.select([n for n in QUALITY_RESULTS_SCHEMA.fieldNames() if n != "run_id"])
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path(QUALITY_RESULTS)}/run_id={run_id}")
+        self.snapshots(QUALITY_RESULTS).replace(results.coalesce(1), run_id)
