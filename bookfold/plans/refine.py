@@ -1,4 +1,9 @@
-"""The four refined tables, each built from one month of its raw table."""
+"""The four refined tables, each built from one month of its raw table, or from a set of months.
+
+A set of months is a frame with a column ``target_month``. It meets the raw table in a semi-join on the partition column,
+so Spark prunes the other months at run time, when the set is known. Months are built as if one by one: a row that was
+loaded for two months stays in both.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +18,19 @@ from bookfold.schemas import EXTRACTS, ROW_IDENTITY, source_columns
 SALES = "monthly_product_sales"
 
 
-def _month(raw: DataFrame, target_month: str) -> DataFrame:
-    return raw.filter(F.col("target_month") == target_month)
+Months = str | DataFrame
+
+
+def _of_months(raw: DataFrame, months: Months) -> DataFrame:
+    if isinstance(months, str):
+        return raw.filter(F.col("target_month") == months)
+    # Six digits: however large the frame of months is, a million distinct ones can be broadcast at most.
+    wanted = months.filter(F.col("target_month").rlike(r"^\d{6}$")).select("target_month").distinct()
+    return raw.join(F.broadcast(wanted), "target_month", "left_semi")
+
+
+def _identity(months: Months) -> tuple[str, ...]:
+    return ROW_IDENTITY if isinstance(months, str) else (*ROW_IDENTITY, "target_month")
 
 
 def _typed(kind: str, rows: DataFrame) -> DataFrame:
@@ -31,15 +47,15 @@ def _in_table_order(kind: str, df: DataFrame) -> DataFrame:
     return df.select([name for name, _ in source_columns(kind)])
 
 
-def refine_reference(kind: str, raw: DataFrame, target_month: str) -> DataFrame:
+def refine_reference(kind: str, raw: DataFrame, months: Months) -> DataFrame:
     """Product master, author conditions or statement detail: rows without a key go before deduplication."""
-    usable = _month(raw, target_month).filter(_has_keys(kind))
-    return _in_table_order(kind, _typed(kind, latest_rows(usable, ROW_IDENTITY, "loaded_at")))
+    usable = _of_months(raw, months).filter(_has_keys(kind))
+    return _in_table_order(kind, _typed(kind, latest_rows(usable, _identity(months), "loaded_at")))
 
 
-def refine_sales(raw: DataFrame, product_master: DataFrame, target_month: str) -> DataFrame:
+def refine_sales(raw: DataFrame, product_master: DataFrame, months: Months) -> DataFrame:
     """Monthly sales: the newest load decides first, rows without a key go afterwards."""
-    latest = latest_rows(_month(raw, target_month), ROW_IDENTITY, "loaded_at").filter(_has_keys(SALES))
+    latest = latest_rows(_of_months(raw, months), _identity(months), "loaded_at").filter(_has_keys(SALES))
     enriched = with_master(
         _typed(SALES, latest),
         product_master,

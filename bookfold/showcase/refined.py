@@ -21,20 +21,20 @@ _NEWEST = "source_file_id, source_sheet_name, row_number"
 _HIDDEN = "loaded_at"
 
 
-def _newest_first(kind: str) -> str:
+def newest_first(kind: str, identity: str = _NEWEST) -> str:
     ties = ", ".join(f"{c} DESC" for c in ["source_file_name", *EXTRACTS[kind].field_names])
-    return f"row_number() OVER (PARTITION BY {_NEWEST} ORDER BY loaded_at DESC, target_month DESC, {ties}) = 1"
+    return f"row_number() OVER (PARTITION BY {identity} ORDER BY loaded_at DESC, target_month DESC, {ties}) = 1"
 
 
-def _sql_typed(kind: str, alias: str = "") -> str:
+def sql_typed(kind: str, alias: str = "") -> str:
     return ", ".join(f"{SQL_REFINE[f.refined_type](alias + f.name)} AS {f.name}" for f in EXTRACTS[kind].fields)
 
 
 def sql_reference(kind: str) -> str:
     keys = " AND ".join(f"{sql_blank_to_null(k)} IS NOT NULL" for k in EXTRACTS[kind].key_fields)
     return (
-        f"SELECT target_month, row_number, {_sql_typed(kind)}, source_file_id, source_file_name, source_sheet_name "
-        f"FROM (SELECT * FROM ({RAW_SQL[kind]}) WHERE target_month = '{MONTH}' AND {keys} QUALIFY {_newest_first(kind)})"
+        f"SELECT target_month, row_number, {sql_typed(kind)}, source_file_id, source_file_name, source_sheet_name "
+        f"FROM (SELECT * FROM ({RAW_SQL[kind]}) WHERE target_month = '{MONTH}' AND {keys} QUALIFY {newest_first(kind)})"
     )
 
 
@@ -42,8 +42,8 @@ def sql_sales() -> str:
     own = [f.name for f in EXTRACTS[SALES].fields if f.name not in ("electronic_publication_code",)]
     return (
         f"WITH pm AS ({sql_reference('product_master')}), "
-        f"latest AS (SELECT * FROM ({RAW_SQL[SALES]}) WHERE target_month = '{MONTH}' QUALIFY {_newest_first(SALES)}), "
-        f"typed AS (SELECT target_month, row_number, {_sql_typed(SALES)}, source_file_id, source_file_name, "
+        f"latest AS (SELECT * FROM ({RAW_SQL[SALES]}) WHERE target_month = '{MONTH}' QUALIFY {newest_first(SALES)}), "
+        f"typed AS (SELECT target_month, row_number, {sql_typed(SALES)}, source_file_id, source_file_name, "
         "source_sheet_name FROM latest) "
         f"SELECT s.target_month, s.row_number, {', '.join('s.' + c for c in own)}, '01-' || s.product_code AS product_key, "
         "coalesce(s.electronic_publication_code, pm.electronic_publication_code) AS electronic_publication_code, "
