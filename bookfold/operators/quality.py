@@ -54,7 +54,7 @@ def predicate_counts(df: DataFrame, table: str, failing: Mapping[str, Column], e
     )
 
 
-def _as_sample(top: DataFrame, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def as_sample(top: DataFrame, order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """At most ``SAMPLE_ROWS`` rows -> one row of JSON, in the given order whatever the plan."""
     ranked = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("o"), F.struct(*columns).alias("s"))))
     return top.agg(rows_json(F.transform(ranked, lambda r: r["s"])).alias("sample_json"))
@@ -68,7 +68,7 @@ def row_sample(df: DataFrame, failing: Column, columns: Sequence[str], row_order
         *[F.col(c).alias(f"_o{i}") for i, c in enumerate(row_order)],
         *columns,
     )
-    return _as_sample(keyed.orderBy(*order).limit(SAMPLE_ROWS), order, columns)
+    return as_sample(keyed.orderBy(*order).limit(SAMPLE_ROWS), order, columns)
 
 
 def key_matches(facts: DataFrame, master: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,7 +116,7 @@ def unmatched_sample(
         .orderBy(*order)
         .limit(SAMPLE_ROWS)
     )
-    return _as_sample(top, order, columns)
+    return as_sample(top, order, columns)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -133,7 +133,7 @@ def duplicate_count(df: DataFrame, keys: Sequence[str], name: str, table: str) -
 
 def duplicate_sample(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     top = duplicate_keys(df, keys).orderBy(*keys).limit(SAMPLE_ROWS)
-    return _as_sample(top, keys, [*keys, "duplicate_count"])
+    return as_sample(top, keys, [*keys, "duplicate_count"])
 
 
 def findings(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:

@@ -18,7 +18,7 @@ SALES = "source_monthly_product_sales"
 MATCH_KEYS = ["product_code", "target_month"]
 
 # The required fields of each table with the two fields its samples show.
-_REQUIRED = {
+REQUIRED = {
     PRODUCTS: (("product_code", "title", "target_month"), ("product_code", "title")),
     AUTHORS: (("product_code", "author_name", "target_month"), ("product_code", "author_name")),
     STATEMENTS: (
@@ -28,12 +28,12 @@ _REQUIRED = {
     SALES: (("product_code", "target_month"), ("product_code", "product_name")),
 }
 # The other checks. table, key of the duplicate / matched table, fields in the sample.
-_MISSING_CODE = "electronic_publication_code_missing_after_completion"
-_UNMATCHED = {
+MISSING_CODE = "electronic_publication_code_missing_after_completion"
+UNMATCHED = {
     "monthly_sales_product_master_unmatched": (PRODUCTS, ("product_code", "product_name")),
     "monthly_sales_author_conditions_unmatched": (AUTHORS, ("product_code", "electronic_publication_code")),
 }
-_DUPLICATE = {
+DUPLICATE = {
     PRODUCTS: ("product_code",),
     AUTHORS: ("product_code", "author_identifier_id"),
 }
@@ -47,14 +47,14 @@ def check_counts(tables: Mapping[str, DataFrame], target_month: str) -> DataFram
     """All 13 counts, zeros included."""
     month = _month_tables(tables, target_month)
     parts = []
-    for table, (required, _) in _REQUIRED.items():
+    for table, (required, _) in REQUIRED.items():
         failing = {f"{table}_required_null": q.any_null(*required)}
         if table == SALES:
-            failing[_MISSING_CODE] = q.any_null("electronic_publication_code")
+            failing[MISSING_CODE] = q.any_null("electronic_publication_code")
         parts.append(q.predicate_counts(month[table], table, failing, f"{table}_row_count_zero"))
-    for name, (other, _) in _UNMATCHED.items():
+    for name, (other, _) in UNMATCHED.items():
         parts.append(q.unmatched_count(month[SALES], month[other], MATCH_KEYS, name, SALES))
-    for table, keys in _DUPLICATE.items():
+    for table, keys in DUPLICATE.items():
         parts.append(q.duplicate_count(month[table], keys, f"{table}_duplicate_key", table))
     return q.all_rows(parts)
 
@@ -69,13 +69,13 @@ def check_samples(tables: Mapping[str, DataFrame], target_month: str, only: Iter
         if wanted is None or name in wanted:
             checks.append(q.Check(name, table, sample(*arguments)))
 
-    for table, (required, shown) in _REQUIRED.items():
+    for table, (required, shown) in REQUIRED.items():
         add(f"{table}_required_null", table, q.row_sample, month[table], q.any_null(*required), shown, ROW_IDENTITY)
-    _, shown = _REQUIRED[SALES]
-    add(_MISSING_CODE, SALES, q.row_sample, month[SALES], q.any_null("electronic_publication_code"), shown, ROW_IDENTITY)
-    for name, (other, shown) in _UNMATCHED.items():
+    _, shown = REQUIRED[SALES]
+    add(MISSING_CODE, SALES, q.row_sample, month[SALES], q.any_null("electronic_publication_code"), shown, ROW_IDENTITY)
+    for name, (other, shown) in UNMATCHED.items():
         add(name, SALES, q.unmatched_sample, month[SALES], month[other], MATCH_KEYS, shown, ROW_IDENTITY)
-    for table, keys in _DUPLICATE.items():
+    for table, keys in DUPLICATE.items():
         add(f"{table}_duplicate_key", table, q.duplicate_sample, month[table], keys)
     return checks
 
@@ -85,15 +85,6 @@ def source_findings(tables: Mapping[str, DataFrame], target_month: str) -> DataF
     return q.findings(check_counts(tables, target_month), check_samples(tables, target_month))
 
 
-def source_findings_staged(tables: Mapping[str, DataFrame], target_month: str) -> DataFrame:
-    """The same result in two steps: count (13 rows to the driver), then sample only what failed."""
-    spark = next(iter(tables.values())).sparkSession
-    counted = [tuple(r) for r in check_counts(tables, target_month).collect()]
-    counts = spark.createDataFrame(counted, "check_name string, table_name string, error_count bigint")
-    failed = [name for name, _, n in counted if n > 0]
-    return q.findings(counts, check_samples(tables, target_month, failed))
-
-
 def sales_month_mismatch(sales: DataFrame) -> DataFrame:
     """Optional check: sales whose accounting month is not the month being built."""
     wrong = {"monthly_sales_target_month_mismatch": q.month_mismatch(F.col("accounting_month"), F.col("target_month"))}

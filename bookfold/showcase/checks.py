@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookfold.operators import quality as q
+from bookfold.operators.key_counts import KeyCounts
 from bookfold.operators.metadata import month_count as count_of_month
 from bookfold.operators.metadata import total_month_count as total_of_month
+from bookfold.plans.check_states import findings_from_states
 from bookfold.plans.source_checks import (
     check_counts,
     raw_conversion_failures,
     sales_month_mismatch,
-    source_findings,
-    source_findings_staged,
 )
 from bookfold.schemas import EXTRACTS
 from bookfold.session import shared_folder
@@ -132,7 +132,7 @@ def source_check_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_FINDINGS)
 def source_quality_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source_findings(written_tables(spark, sf_dir), MONTH)
+    return findings_from_states(written_tables(spark, sf_dir), MONTH)
 
 
 @query(f"SELECT 'r1' AS run_id, '{MONTH}' AS target_month, * FROM ({_FINDINGS})")
@@ -140,7 +140,7 @@ def source_quality_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same run stored twice keeps one set of results; a run without findings stores none."""
     layers = Layers(spark, shared_folder(spark, "findings"))
     stamp = {"checked_at": F.current_timestamp(), "target_month": F.lit(MONTH)}
-    found = source_findings_staged(written_tables(spark, sf_dir), MONTH).withColumns(stamp)
+    found = findings_from_states(written_tables(spark, sf_dir), MONTH).withColumns(stamp)
     layers.replace_run("r1", found.filter("table_name = 'source_product_master'"))
     layers.replace_run("r2", found)
     layers.replace_run("r2", found.filter("error_count < 0"))
@@ -228,6 +228,16 @@ def duplicate_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.duplicate_count(table(spark, sf_dir, "lineitem"), _LINE_KEYS, "lineitem_duplicate_key", "lineitem")
 
 
+@query(_LINE_GROUPS)
+def duplicates_across_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads merged into one state, the second of them twice."""
+    lines = table(spark, sf_dir, "lineitem")
+    state = KeyCounts(spark, shared_folder(spark, "key-counts"), lines.select(*_LINE_KEYS).schema)
+    for load in (0, 1, 2, 1):
+        state.merge(f"load-{load}", lines.filter(F.col("l_suppkey") % 3 == load))
+    return state.duplicates()
+
+
 @query(_LINE_GROUPS)
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.duplicate_keys(table(spark, sf_dir, "lineitem"), _LINE_KEYS)

@@ -24,6 +24,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("folder", T.StringType()),
         T.StructField("n_rows", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
+        T.StructField("note", T.StringType()),
     ]
 )
 _NEWEST = ("number", "committed_at", "folder")
@@ -54,8 +55,9 @@ class Snapshots:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
 
-    def replace(self, rows: DataFrame, part: str = "") -> int:
-        """Commits ``rows`` as the new content of the table or of one part; the number of rows. They may come from the
+    def replace(self, rows: DataFrame, part: str = "", note: str = "") -> int:
+        """Commits ``rows`` as the new content of the table or of one part; the number of rows. The note goes into the
+        log with it. The rows may come from the
         table itself, as its present version is left alone."""
         newest = self.log().filter(F.col("part") == part).agg(F.max("number")).first()[0]
         number = 0 if newest is None else newest + 1
@@ -63,7 +65,7 @@ class Snapshots:
         counted = Observation()
         names = [n for n in self.schema.fieldNames() if n != self.part_column]
         rows.select(names).observe(counted, F.count(F.lit(1)).alias("n_rows")).write.parquet(self._data(part, folder))
-        entry = (part, number, folder, counted.get["n_rows"], datetime.now(timezone.utc))
+        entry = (part, number, folder, counted.get["n_rows"], datetime.now(timezone.utc), note)
         self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         return entry[3]
 

@@ -7,7 +7,8 @@ from datetime import datetime
 import pytest
 
 from bookfold.operators import quality as q
-from bookfold.plans.source_checks import check_counts, source_findings, source_findings_staged
+from bookfold.plans.check_states import findings_from_states
+from bookfold.plans.source_checks import check_counts, source_findings
 from bookfold.schemas import EXTRACTS, source_schema
 
 MONTH = "202506"
@@ -57,7 +58,7 @@ def test_every_row_check_fires(spark):
         [S, {"product_code": "P3"}, {"product_name": "no code"}, {"product_code": "P9", "electronic_publication_code": "x"}],
     )
     lazy = found(source_findings(broken, MONTH))
-    assert lazy == found(source_findings_staged(broken, MONTH))
+    assert lazy == found(findings_from_states(broken, MONTH))
     assert {name: count for name, (count, _) in lazy.items()} == {
         "source_product_master_required_null": 2,
         "source_author_conditions_required_null": 1,

@@ -51,7 +51,7 @@ def test_writers_of_one_number_are_told_apart(spark, folder):
     table.replace(frame(spark, 1, "a"))
     first = table.log().first()
     frame(spark, 1, "twin").write.parquet(f"{folder}/t/data/version=zz")
-    spark.createDataFrame([("", 0, "zz", 1, first["committed_at"])], LOG_SCHEMA).write.mode("append").parquet(f"{folder}/t/log")
+    spark.createDataFrame([("", 0, "zz", 1, first["committed_at"], "")], LOG_SCHEMA).write.mode("append").parquet(f"{folder}/t/log")
     assert held(table.read()) == [(0, "twin")]
 
 
