@@ -2,17 +2,20 @@
 
 The refined tables and the quality results are replaced as a whole or run by run; they are kept as snapshots.
 
-Staging and raw are partitioned by ``target_month``, the only column reads filter on, and sorted by
-their clustering columns inside each file. Tables are read with their declared schema, so a month
+Staging and raw are partitioned by ``target_month``, the column that builds filter on, and by batch. Inside each file
+rows are sorted by the clustering columns; on request, files are ranges of them. A batch that is appended again replaces
+itself, and the ledger tells what each batch has brought to each table. Tables are read with their declared schema, so a month
 stays text and an empty table is readable.
 """
 
 from __future__ import annotations
 
 import re
-from datetime import datetime
+from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +24,28 @@ from bookfold.schemas import (
     EXTRACTS,
     GENERIC_COLUMNS,
     QUALITY_RESULTS_SCHEMA,
+    ROW_IDENTITY,
     ingest_schema,
     raw_schema,
     source_schema,
     staging_schema,
 )
-from bookfold.sources.snapshots import Snapshots
+from bookfold.sources.clustering import clustered, file_ranges, may_hold
+from bookfold.sources.snapshots import Snapshots, folder_exists
 
 AUDIT_LOG = "pipeline_audit_log"
 QUALITY_RESULTS = "source_quality_results"
+BATCH_LEDGER = "batch_ledger"
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("source_file_id", T.StringType()),
+        T.StructField("source_sheet_name", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+    ]
+)
+Sheet = tuple[str, str]
 _RUN_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -55,7 +71,7 @@ class Layers:
             self._cluster[extract.raw_table] = extract.cluster
 
     def path(self, table: str) -> str:
-        layer = "audit" if table in (AUDIT_LOG, QUALITY_RESULTS) else table.split("_", 1)[0]
+        layer = "audit" if table in (AUDIT_LOG, QUALITY_RESULTS, BATCH_LEDGER) else table.split("_", 1)[0]
         return f"{self.root}/{layer}/{table}"
 
     def partition_column(self, table: str) -> str:
@@ -91,12 +107,73 @@ class Layers:
         """The rows of one load; a file holds one load, so the others are skipped by their statistics."""
         return self.read_month(table, target_month).filter(F.col("loaded_at") == F.lit(loaded_at))
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Add a batch; an empty batch adds no file. The sort is local, so no shuffle is needed."""
-        ordered = rows.select(self._schemas[table].fieldNames()).sortWithinPartitions(
-            "target_month", *self._cluster[table]
-        )
-        ordered.write.mode("append").partitionBy("target_month").parquet(self.path(table))
+    def append(self, table: str, rows: DataFrame, batch_id: str | None = None, sheets: Sequence[Sheet] = (), files: int | None = None) -> int:
+        """Add a batch and return its number of rows, counted while they are written; an empty batch adds no file.
+
+        A batch that the ledger has is not written again. One that was written and not entered, as its driver was lost,
+        replaces its own files. The ledger gets the rows of the batch, and of each of ``sheets`` (file, sheet name).
+        With ``files``, rows are dealt to so many files by ranges of the clustering columns (one shuffle), and the
+        ranges are kept; otherwise the sort is local, without a shuffle."""
+        if batch_id is not None:
+            if not _RUN_ID.fullmatch(batch_id):
+                raise ValueError(f"batch id cannot name a partition: {batch_id!r}")
+            landed = self._ledger(table).filter((F.col("batch_id") == batch_id) & F.col("source_file_id").isNull()).first()
+            if landed:
+                return landed["n_rows"]
+        batch = batch_id or uuid4().hex
+        rows, keys = rows.select(self._schemas[table].fieldNames()), self._cluster[table]
+        if files:
+            rows = clustered(rows, ["target_month"], keys, ROW_IDENTITY, files)
+        else:
+            rows = rows.sortWithinPartitions("target_month", *keys)
+        of_sheet = [(F.col("source_file_id") == file) & (F.col("source_sheet_name") == sheet) for file, sheet in sheets]
+        counted = Observation()
+        counts = [F.count(F.lit(1)).alias("n"), *[F.count_if(own).alias(f"n{i}") for i, own in enumerate(of_sheet)]]
+        writer = rows.observe(counted, *counts).withColumn("batch_id", F.lit(batch)).write.partitionBy("target_month", "batch_id")
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+        if files:
+            own = self.spark.read.schema(self._batch_schema(table)).parquet(self.path(table)).filter(F.col("batch_id") == batch)
+            ranges = file_ranges(own.select(*keys, "_metadata"), keys).coalesce(1)
+            ranges.write.mode("overwrite").parquet(f"{self.path(table)}_ranges/batch_id={batch}")
+        found, now = counted.get, datetime.now(timezone.utc)
+        entries = [(batch, None, None, found["n"], now), *[(batch, *sheet, found[f"n{i}"], now) for i, sheet in enumerate(sheets)]]
+        entered = self.spark.createDataFrame(entries, LEDGER_SCHEMA).coalesce(1)
+        entered.write.mode("append").parquet(f"{self.path(BATCH_LEDGER)}/table_name={table}")
+        return found["n"]
+
+    def _batch_schema(self, table: str) -> T.StructType:
+        return T.StructType([*self._schemas[table], T.StructField("batch_id", T.StringType())])
+
+    def _ledger(self, table: str) -> DataFrame:
+        """The folder of each table is its own, as tables are written at the same time."""
+        path = f"{self.path(BATCH_LEDGER)}/table_name={table}"
+        if not folder_exists(self.spark, path):
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(path)
+
+    def landed(self, tables: Sequence[str] | None = None) -> DataFrame:
+        """What batches have brought: table_name, batch_id, source_file_id and source_sheet_name (null: the whole
+        batch), n_rows, committed_at."""
+        frames = [self._ledger(t).withColumn("table_name", F.lit(t)) for t in (self._cluster if tables is None else tables)]
+        found = frames[0]
+        for frame in frames[1:]:
+            found = found.unionByName(frame)
+        return found
+
+    def look_up(self, table: str, target_month: str, wanted: Mapping[str, str | None]) -> DataFrame:
+        """The rows of a month with these values of clustering columns. Batches without ranges are read whole."""
+        same = F.lit(True)
+        for key, value in wanted.items():
+            same &= F.col(key).isNull() if value is None else F.col(key) == value
+        rows = self.spark.read.schema(self._batch_schema(table)).parquet(self.path(table))
+        rows = rows.filter((F.col("target_month") == target_month) & same)
+        if folder_exists(self.spark, f"{self.path(table)}_ranges"):
+            ranges = self.spark.read.option("basePath", f"{self.path(table)}_ranges").parquet(f"{self.path(table)}_ranges")
+            ranges = ranges.withColumn("batch_id", F.col("batch_id").cast("string"))
+            known = [r["batch_id"] for r in ranges.select("batch_id").distinct().collect()]
+            paths = [r["file_path"] for r in ranges.filter(may_hold(wanted)).select("file_path").collect()]
+            rows = rows.filter(~F.col("batch_id").isin(known)).unionByName(rows.filter(F.col("batch_id").isin(known) & F.col("_metadata.file_path").isin(paths)))
+        return rows.select(self._schemas[table].fieldNames())
 
     def replace(self, table: str, rows: DataFrame) -> int:
         """Swap the whole content; the old one stays readable until the new one is complete. The number of rows."""

@@ -179,10 +179,10 @@ def test_a_failing_append_is_audited_with_what_has_landed(spark, folder, monkeyp
     landing, root = write_landing(folder), os.path.join(folder, "lake")
     append = Layers.append
 
-    def failing(self, table, batch):
+    def failing(self, table, batch, *more):
         if table == "raw_monthly_product_sales":
             raise OSError("disk full")
-        append(self, table, batch)
+        append(self, table, batch, *more)
 
     monkeypatch.setattr(Layers, "append", failing)
     with pytest.raises(OSError, match="disk full"):
