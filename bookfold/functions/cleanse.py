@@ -17,7 +17,7 @@ RATE_NOISE = "%％, "
 INT_NOISE = ", "
 
 MONTH_PATTERN = r"(20\p{Nd}{2})(?:年)?(0[1-9]|1[0-2])"
-_DATE_PATTERN = r"^([0-9]{4})(?:([-/])([0-9]{1,2})\2([0-9]{1,2})|([0-9]{2})([0-9]{2}))\z"
+DATE_PATTERN = r"^([0-9]{4})(?:([-/])([0-9]{1,2})\2([0-9]{1,2})|([0-9]{2})([0-9]{2}))\z"
 
 
 def as_column(value: Column | str) -> Column:
@@ -74,8 +74,8 @@ def whole_number(value: Column | str) -> Column:
 def calendar_date(value: Column | str) -> Column:
     """``2025/6/1``, ``2025-06-01`` or ``20250601``; a year has four digits and is 0001 at least; anything else is null."""
     text = trim_space(value)
-    iso = F.regexp_replace(text, _DATE_PATTERN, "$1-$3$5-$4$6")
-    return F.when(text.rlike(_DATE_PATTERN) & ~text.startswith("0000"), iso.try_cast("date"))
+    iso = F.regexp_replace(text, DATE_PATTERN, "$1-$3$5-$4$6")
+    return F.when(text.rlike(DATE_PATTERN) & ~text.startswith("0000"), iso.try_cast("date"))
 
 
 def refine(value: Column | str, refined_type: str) -> Column:

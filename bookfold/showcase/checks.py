@@ -22,7 +22,7 @@ from bookfold.showcase.refined import refined_frames, sql_reference, sql_sales,
 from bookfold.showcase.registry import SQL_REFINE, query, sql_blank_to_null
 from bookfold.sources.layers import QUALITY_RESULTS, Layers
 
-_TABLES = (
+TABLES = (
     f"WITH source_product_master AS ({sql_reference('product_master')}), "
     f"source_author_conditions AS ({sql_reference('author_conditions')}), "
     f"source_ep_statement_detail AS ({sql_reference('ep_statement_detail')}), "
@@ -70,7 +70,7 @@ def _duplicate_finding(table_name: str, keys: list[str]) -> str:
     )
 
 
-_ALL_CHECKS = " UNION ALL ".join(
+ALL_CHECKS = " UNION ALL ".join(
     [
         _null_finding(
             "source_product_master_required_null",
@@ -122,10 +122,10 @@ _ALL_CHECKS = " UNION ALL ".join(
         ),
     ]
 )
-_FINDINGS = f"{_TABLES} SELECT * FROM ({_ALL_CHECKS}) WHERE error_count > 0"
+_FINDINGS = f"{TABLES} SELECT * FROM ({ALL_CHECKS}) WHERE error_count > 0"
 
 
-@query(f"{_TABLES} SELECT check_name, table_name, error_count FROM ({_ALL_CHECKS})")
+@query(f"{TABLES} SELECT check_name, table_name, error_count FROM ({ALL_CHECKS})")
 def source_check_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_counts(written_tables(spark, sf_dir), MONTH)
 
@@ -155,7 +155,7 @@ def source_quality_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"{_TABLES} SELECT 'monthly_sales_target_month_mismatch' AS check_name, 'source_monthly_product_sales' AS table_name, "
+    f"{TABLES} SELECT 'monthly_sales_target_month_mismatch' AS check_name, 'source_monthly_product_sales' AS table_name, "
     "count(*) FILTER (WHERE regexp_replace(accounting_month, '[^0-9]', '', 'g') <> target_month) AS error_count "
     "FROM source_monthly_product_sales"
 )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bookfold.operators.files import classify, latest_per_kind, missing_kinds
+from bookfold.operators.assertions import one_file_per_kind, raised_message
+from bookfold.operators.files import classify, latest_per_kind
 from bookfold.schemas import EXTRACTS, KINDS
 
 _MIME_TYPES = {
@@ -41,26 +42,16 @@ def manifest(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def choose_files(files: DataFrame, target_month: str | None = None) -> list[dict]:
-    """One file per kind as dicts, in the order of the kinds. At most one row per kind is collected."""
-    spark = files.sparkSession
-    candidates = classify(files)
-    newest = latest_per_kind(candidates, target_month)
-    one_each = newest.groupBy("source_kind").agg(
-        F.count("*").alias("n_tied"), F.max(F.struct("name", *[c for c in files.columns if c != "name"], "target_month")).alias("file")
-    )
-    chosen = {r["source_kind"]: r for r in one_each.collect()}
-    if len(chosen) < len(KINDS):
-        kinds = spark.createDataFrame([(k, EXTRACTS[k].label) for k in KINDS], "source_kind string, label string")
-        missing = {r["label"] for r in missing_kinds(candidates, kinds).collect()}
-        named = ", ".join(e.label for e in EXTRACTS.values() if e.label in missing)
-        raise SourceFileError(f"required source file not found: {named}")
-    for kind in KINDS:
-        if chosen[kind]["n_tied"] > 1:
-            tied = newest.filter(F.col("source_kind") == kind).select("name")
-            # Files of one directory that are newest at the same instant: all of them are named.
-            names = tied.agg(F.array_join(F.reverse(F.array_sort(F.collect_list("name"))), ", ").alias("names")).first()["names"]
-            raise SourceFileError(f"multiple latest files for {EXTRACTS[kind].label}: {names}")
-    return [{"source_kind": kind, **chosen[kind]["file"].asDict()} for kind in KINDS]
+    """One file per kind as dicts, in the order of the kinds; the plan itself fails if one is missing or ambiguous."""
+    kinds = files.sparkSession.createDataFrame([(i, k, EXTRACTS[k].label) for i, k in enumerate(KINDS)], "place int, source_kind string, label string")
+    newest = latest_per_kind(classify(files), target_month).drop("is_month_match")
+    try:
+        chosen = one_file_per_kind(newest, kinds).orderBy("place").drop("place").collect()
+    except Exception as problem:
+        if (message := raised_message(problem)) is None:
+            raise
+        raise SourceFileError(message) from None
+    return [r.asDict() for r in chosen]
 
 
 def run_month(chosen: list[dict], target_month: str | None) -> str:
