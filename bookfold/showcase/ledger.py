@@ -14,8 +14,8 @@ from bookfold.schemas import EXTRACTS
 from bookfold.session import shared_folder
 from bookfold.showcase.checks import ALL_CHECKS, TABLES
 from bookfold.showcase.frames import MONTH, RAW_SQL, derived, raw_frame, table
-from bookfold.showcase.refined import sql_reference, written_tables
-from bookfold.showcase.registry import SQL_REFINE, comparable, query, sql_blank_to_null
+from bookfold.showcase.refined import shown, sql_reference, written_tables
+from bookfold.showcase.registry import SQL_REFINE, query, sql_blank_to_null
 from bookfold.sources.bucketed import enriched_and_unmatched, write_bucketed
 
 # Every user is a run. What a run was last heard of decides: some end well, some fail, and the others are cut off.
@@ -129,7 +129,7 @@ def _view(df: DataFrame, name: str) -> str:
 @query(sql_reference("product_master"))
 def scripted_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product master built by a script with bound parameters."""
-    return comparable(scripts.build_master(spark, _view(raw_frame(spark, sf_dir, "product_master"), "scripted_raw"), MONTH).drop("loaded_at"))
+    return shown(scripts.build_master(spark, _view(raw_frame(spark, sf_dir, "product_master"), "scripted_raw"), MONTH))
 
 
 @query(f"{TABLES} SELECT check_name, error_count FROM ({ALL_CHECKS}) WHERE table_name = 'source_product_master'")

@@ -10,8 +10,8 @@ from bookfold.plans.refine import SALES
 from bookfold.schemas import EXTRACTS, LINEAGE
 from bookfold.session import shared_folder, together
 from bookfold.showcase.frames import RAW_SQL, derived
-from bookfold.showcase.refined import newest_first, sql_typed
-from bookfold.showcase.registry import comparable, query, sql_blank_to_null
+from bookfold.showcase.refined import newest_first, shown, sql_typed
+from bookfold.showcase.registry import query, sql_blank_to_null
 from bookfold.sources.layers import Layers
 
 ALL_MONTHS = ("202504", "202505", "202506", "202507")
@@ -74,7 +74,7 @@ def raw_layers(spark: SparkSession, sf_dir: str, kinds: list[str]) -> Layers:
 def _built(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     layers = raw_layers(spark, sf_dir, [kind] if kind != SALES else ["product_master", SALES])
     build_source(layers, months_table(spark).filter("wanted"))
-    return comparable(layers.read(EXTRACTS[kind].source_table).withColumn("loaded_at", F.unix_timestamp("loaded_at")))
+    return shown(layers.read(EXTRACTS[kind].source_table))
 
 
 @query(_sql_reference("product_master"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,12 @@ from bookfold.showcase.registry import SQL_REFINE, comparable, query, sql_blank_
 from bookfold.sources.layers import Layers
 
 _NEWEST = "source_file_id, source_sheet_name, row_number"
-_HIDDEN = "loaded_at"
+_STAMP = "CAST(floor(epoch(loaded_at)) AS BIGINT) AS loaded_at"
+
+
+def shown(refined: DataFrame) -> DataFrame:
+    """All columns, as any client compares them alike; the time of the load as seconds."""
+    return comparable(refined.withColumn("loaded_at", F.unix_timestamp("loaded_at")))
 
 
 def newest_first(kind: str, identity: str = _NEWEST) -> str:
@@ -33,7 +39,7 @@ def sql_typed(kind: str, alias: str = "") -> str:
 def sql_reference(kind: str) -> str:
     keys = " AND ".join(f"{sql_blank_to_null(k)} IS NOT NULL" for k in EXTRACTS[kind].key_fields)
     return (
-        f"SELECT target_month, row_number, {sql_typed(kind)}, source_file_id, source_file_name, source_sheet_name "
+        f"SELECT target_month, row_number, {sql_typed(kind)}, source_file_id, source_file_name, source_sheet_name, {_STAMP} "
         f"FROM (SELECT * FROM ({RAW_SQL[kind]}) WHERE target_month = '{MONTH}' AND {keys} QUALIFY {newest_first(kind)})"
     )
 
@@ -44,11 +50,11 @@ def sql_sales() -> str:
         f"WITH pm AS ({sql_reference('product_master')}), "
         f"latest AS (SELECT * FROM ({RAW_SQL[SALES]}) WHERE target_month = '{MONTH}' QUALIFY {newest_first(SALES)}), "
         f"typed AS (SELECT target_month, row_number, {sql_typed(SALES)}, source_file_id, source_file_name, "
-        "source_sheet_name FROM latest) "
+        f"source_sheet_name, {_STAMP} FROM latest) "
         f"SELECT s.target_month, s.row_number, {', '.join('s.' + c for c in own)}, '01-' || s.product_code AS product_key, "
         "coalesce(s.electronic_publication_code, pm.electronic_publication_code) AS electronic_publication_code, "
         "pm.title AS matched_product_title, pm.author AS matched_author, "
-        "s.source_file_id, s.source_file_name, s.source_sheet_name "
+        "s.source_file_id, s.source_file_name, s.source_sheet_name, s.loaded_at "
         "FROM typed s LEFT JOIN pm ON s.product_code = pm.product_code AND s.target_month = pm.target_month "
         "WHERE s.product_code IS NOT NULL"
     )
@@ -86,24 +92,24 @@ def written_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @query(sql_reference("product_master"))
 def source_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_frame(spark, sf_dir, "product_master")
-    return comparable(refine_reference("product_master", raw, MONTH).drop(_HIDDEN))
+    return shown(refine_reference("product_master", raw, MONTH))
 
 
 @query(sql_reference("author_conditions"))
 def source_author_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_frame(spark, sf_dir, "author_conditions")
-    return comparable(refine_reference("author_conditions", raw, MONTH).drop(_HIDDEN))
+    return shown(refine_reference("author_conditions", raw, MONTH))
 
 
 @query(sql_reference("ep_statement_detail"))
 def source_ep_statement_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_frame(spark, sf_dir, "ep_statement_detail")
-    return comparable(refine_reference("ep_statement_detail", raw, MONTH).drop(_HIDDEN))
+    return shown(refine_reference("ep_statement_detail", raw, MONTH))
 
 
 @query(sql_sales())
 def source_monthly_product_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(refined_frames(spark, sf_dir)["source_monthly_product_sales"].drop(_HIDDEN))
+    return shown(refined_frames(spark, sf_dir)["source_monthly_product_sales"])
 
 
 @query(
@@ -161,12 +167,12 @@ _SHEET_ROWS = (
 
 
 @query(
-    f"SELECT row_number, '{MONTH}' AS target_month, file_id AS source_file_id, file_name AS source_file_name, "
+    f"SELECT row_number, '{MONTH}' AS target_month, 1751328000 AS loaded_at, file_id AS source_file_id, file_name AS source_file_name, "
     f"sheet_name AS source_sheet_name, coalesce(title, '') AS raw_title, raw_code FROM ({_SHEET_ROWS})"
 )
 def staged_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derived(spark, sf_dir, _SHEET_ROWS)
-    return staged(with_metadata(rows, MONTH, F.current_timestamp())).drop("loaded_at")
+    return shown(staged(with_metadata(rows, MONTH, datetime(2025, 7, 1, tzinfo=timezone.utc))))
 
 
 @query(sql_reference("product_master"))
@@ -179,7 +185,7 @@ def reloaded_product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         refined = refine_reference("product_master", layers.read_month("raw_product_master", MONTH), MONTH)
         layers.replace("source_product_master", refined)
-    return comparable(layers.read("source_product_master").drop(_HIDDEN))
+    return shown(layers.read("source_product_master"))
 
 
 _TWO_VERSIONS = (
@@ -204,4 +210,4 @@ def replaced_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = layers.read(table_name)
     layers.replace(table_name, refined)
     seen = before.withColumn("seen", F.lit("before")).unionByName(layers.read(table_name).withColumn("seen", F.lit("after")))
-    return comparable(seen.drop(_HIDDEN))
+    return shown(seen)

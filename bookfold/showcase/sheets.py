@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookfold.functions.labels import IGNORED_IN_LABELS, label_key
+from bookfold.operators.quality import all_rows
 from bookfold.operators.headers import generic_rows, mapped_rows, measured, sheet_report, with_report
 from bookfold.schemas import EXTRACTS, GENERIC_COLUMNS, HEADER_SEARCH_ROWS, generic_column
 from bookfold.session import spread
@@ -155,7 +156,7 @@ def _part_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SHOWN = [generic_column(i) for i in (0, 1, 3, 4, GENERIC_COLUMNS - 1)]
+_SHOWN = [generic_column(i) for i in range(GENERIC_COLUMNS)]
 
 
 @query(
@@ -171,3 +172,67 @@ def generic_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheets = _part_sheets(spark, sf_dir)
     rows = generic_rows(with_report(sheets, sheet_report(sheets)))
     return rows.select("file_id", "row_number", "row_payload_json", *_SHOWN)
+
+
+# Documents again, as sheets of all four kinds in turn: their labels, last field first, stand in a row by document
+# number; documents of fewer lines have no header.
+_FOUR = list(EXTRACTS)
+_LABEL_ROW = "doc_id % 7 + 1"
+
+
+def _headed_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spread(table(spark, sf_dir, "documents")).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_number", "line"))
+    numbered = lines.withColumn("row_number", F.col("line_number").cast("bigint") + 1)
+    kind = F.get(F.array(*[F.lit(k) for k in _FOUR]), (F.col("doc_id") % 4).cast("int"))
+    cells = F.split("line", " ")
+    for k in _FOUR:
+        labels = F.array(*[F.lit(f.labels[0]) for f in reversed(EXTRACTS[k].fields)])
+        cells = F.when((kind == k) & F.expr(f"row_number = {_LABEL_ROW}"), labels).otherwise(cells)
+    return measured(numbered.select(kind.alias("source_kind"), F.col("doc_id").cast("string").alias("file_id"), F.lit("s1").alias("sheet_name"), "row_number", cells.alias("values")))
+
+
+def _sql_mapped(place: int, kind: str) -> str:
+    fields = EXTRACTS[kind].fields
+    positional = all(f.position is not None for f in fields if f.needed)
+    by_label = [f"coalesce(cells[{len(fields) - i}], '')" for i in range(len(fields))]
+    by_place = [f"coalesce(cells[{f.position + 1}], '')" if f.position is not None else "''" for f in fields]
+    plain = f"SELECT doc_id, row_number, [{', '.join(by_place)}] AS mapped FROM lines WHERE doc_id % 4 = {place} AND n_rows < {_LABEL_ROW}"
+    return (
+        f"SELECT doc_id, '{kind}' AS source_kind, row_number, array_to_string(mapped, '|') AS mapped FROM ("
+        f"SELECT doc_id, row_number, [{', '.join(by_label)}] AS mapped FROM lines WHERE doc_id % 4 = {place} AND n_rows >= {_LABEL_ROW} AND row_number > {_LABEL_ROW}"
+        + (f" UNION ALL {plain}" if positional else "")
+        + ") WHERE len(list_filter(mapped, lambda x: x <> '')) > 0"
+    )
+
+
+@query(
+    "WITH lines AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_rows FROM (SELECT doc_id, string_split(unnest(string_split(text, chr(10))), ' ') AS cells, "
+    "generate_subscripts(string_split(text, chr(10)), 1) AS row_number FROM documents)) " + " UNION ALL ".join(_sql_mapped(i, k) for i, k in enumerate(_FOUR))
+)
+def mapped_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all four kinds with all their fields, by header or by position."""
+    sheets = _headed_sheets(spark, sf_dir)
+    report = sheet_report(sheets)
+    parts = []
+    for kind in _FOUR:
+        mapped = mapped_rows(with_report(sheets.filter(F.col("source_kind") == kind), report), EXTRACTS[kind].field_names)
+        fields = F.array_join(F.array(*EXTRACTS[kind].field_names), "|")
+        parts.append(mapped.select(F.col("file_id").cast("bigint").alias("doc_id"), F.lit(kind).alias("source_kind"), "row_number", fields.alias("mapped")))
+    return all_rows(parts)
+
+
+@query(
+    "WITH sized AS (SELECT doc_id, len(string_split(text, chr(10))) AS n_rows FROM documents WHERE len(list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda x: x <> '')) > 0) "
+    "SELECT doc_id, CASE "
+    + " ".join(
+        f"WHEN doc_id % 4 = {i} AND n_rows < {_LABEL_ROW} THEN '"
+        + (f"headerless positional mapping applied for {k}" if all(f.position is not None for f in EXTRACTS[k].fields if f.needed) else "")
+        + "'"
+        for i, k in enumerate(_FOUR)
+    )
+    + " ELSE '' END AS warnings FROM sized"
+)
+def sheet_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of all warnings of each sheet."""
+    report = sheet_report(_headed_sheets(spark, sf_dir))
+    return report.select(F.col("file_id").cast("bigint").alias("doc_id"), F.array_join("warnings", "; ").alias("warnings"))
