@@ -7,10 +7,11 @@ text blocks whose marginal of being content reaches one half are the main text.
 
 Labelled pages come from two places: pages of the table itself that mark their article with an ``<article>``
 element (its text is content, but for parts that are navigation or furniture by tag or name), at most
-``max_pages`` of them by smallest hash of the page; and the short pages of ``SEED_PAGES``, which show kinds of
-furniture that a crawl of one kind of page may lack. Training needs only counts and a small regression.
+``max_pages`` of them by smallest hash of the page and of ``max_bytes`` bytes at most; and the short pages of ``SEED_PAGES``, which show kinds of
+furniture that a crawl of one kind of page may lack. Training needs only counts, of pairs of labels and of each set of
+features with each label, and a regression over those sets.
 
-Text: character references are decoded, white space inside a block (line breaks too) becomes one space, blocks are
+Any text is a page, however broken (see ``html_tree``). Text: character references are decoded, white space inside a block (line breaks too) becomes one space, blocks are
 joined by a newline in page order. Nothing is cut. Null, empty and text-free pages give the empty text. Repeated rows
 give equal rows; other columns play no part.
 """
@@ -70,29 +71,29 @@ def page_labels(nodes: list[Node]) -> list[bool]:
 def train_content_model(pages: list[tuple[list[Node], list[bool]]], steps: int = 30, penalty: float = 0.1) -> ContentModel:
     """Node weights by penalised logistic regression (Newton steps), edge potentials by smoothed counts."""
     places: dict[str, int] = {}
-    rows: list[list[int]] = []
-    labels: list[bool] = []
+    counts: dict[tuple[int, ...], list[int]] = {}
     pairs = np.ones((2, 2, 2))  # by text block or element, parent's label, label
     for nodes, marks in pages:
         for node, mark in zip(nodes, marks):
-            rows.append([places.setdefault(f, len(places)) for f in node_features(node)])
-            labels.append(mark)
+            held = tuple(places.setdefault(f, len(places)) for f in node_features(node))
+            counts.setdefault(held, [0, 0])[mark] += 1
             if node.parent >= 0:
                 pairs[int(node.text is not None), int(marks[node.parent]), int(mark)] += 1
-    x = np.zeros((len(rows), len(places) + 1))
+    x = np.zeros((len(counts), len(places) + 1))
     x[:, -1] = 1
-    for at, row in enumerate(rows):
-        x[at, row] = 1
-    y, w = np.array(labels, float), np.zeros(x.shape[1])
+    for at, row in enumerate(counts):
+        x[at, list(row)] = 1
+    content, n = np.array([c[1] for c in counts.values()], float), np.array([sum(c) for c in counts.values()], float)
+    w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w)), x.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w)), x.T @ (content - n * p) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     # Labels given the parent's; nodes then add what their features say beyond the share of content.
     given = np.log(pairs / pairs.sum(axis=2, keepdims=True))
-    share = (y.sum() + 1) / (len(y) + 2)
+    share = (content.sum() + 1) / (n.sum() + 2)
     weights = {name: float(w[at]) for name, at in places.items()} | {"": float(w[-1] - np.log(share / (1 - share)))}
     return ContentModel(weights, *(tuple(map(tuple, table)) for table in given.tolist()))
 
@@ -130,9 +131,10 @@ def extract_text(html: str | None, model: ContentModel) -> str:
     return "\n".join(n.text for n, o in zip(nodes, odds) if n.text is not None and o >= 0)
 
 
-def labelled_pages(pages: DataFrame, html_column: str = "html", max_pages: int = 400) -> list[tuple[list[Node], list[bool]]]:
-    """Trees and labels of at most ``max_pages`` pages with an article element, and of the seed pages."""
-    rows = only(pages, html=html_column).filter(F.col("html").contains("<article")).withColumn("place", F.xxhash64("html"))
+def labelled_pages(pages: DataFrame, html_column: str = "html", max_pages: int = 400, max_bytes: int = 100_000) -> list[tuple[list[Node], list[bool]]]:
+    """Trees and labels of at most ``max_pages`` pages of at most ``max_bytes`` bytes with an article element, and of the
+    seed pages: so many bytes come to the driver at most."""
+    rows = only(pages, html=html_column).filter(F.col("html").contains("<article") & (F.octet_length("html") <= max_bytes)).withColumn("place", F.xxhash64("html"))
     # Hashes are chosen first: no page travels but the few that are taken.
     chosen = [r["place"] for r in rows.select("place").distinct().orderBy("place").limit(max_pages).collect()]
     taken = rows.filter(F.col("place").isin(chosen)).groupBy("place").agg(F.min("html").alias("html"))

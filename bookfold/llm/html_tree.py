@@ -1,21 +1,31 @@
-"""HTML pages as trees of elements and text blocks, with indicator features for each node."""
+"""HTML pages as trees of elements and text blocks, with indicator features for each node.
+
+Any text parses: markup declarations other than comments end at the next ``>``, and a comment, declaration or tag that the
+page leaves open takes the rest of the page, as in browsers. Left out are only the elements that are no text of the page
+(scripts, styles, head, frames) and the values of form controls; formulas, drawings and embedded objects are inline text.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 #: The classes of HTML elements by what they do to text.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr label".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr label "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded mphantom merror menclose msub msup msubsup munder mover munderover mmultiscripts semantics "
+    "annotation annotation-xml svg g text tspan textpath object map audio video canvas picture".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title script style noscript template iframe object svg math canvas audio video map select option textarea button datalist".split())
+UNSEEN = frozenset("head title script style template iframe select option textarea datalist".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTROLS = frozenset("form fieldset legend input select textarea button label".split())
 NAVIGATION = frozenset("nav menu header footer aside dialog".split())
 #: Elements that a new start tag of the same group closes, up to the nearest container of that group.
-CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-CONTAINERS = {"p": ("div", "article", "section", "body", "td", "li", "blockquote"), "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead"), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
+CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+CONTAINERS = {"p": ("div", "article", "section", "body", "td", "li", "blockquote"), "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead"), "td": ("tr", "table"), "th": ("tr", "table")}
 #: Words of class, id and role attributes that tell of page furniture, and of articles.
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus feedback "
@@ -24,6 +34,7 @@ FURNITURE = frozenset(
     "toolbar tracking widget widgets".split()
 )
 ARTICLE = frozenset("article articlebody body content entry hentry main post story text".split())
+_OPEN_MARKUP = re.compile(r"<[A-Za-z/!?]")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
@@ -49,6 +60,7 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node(-1, "#root")]
         self.stack: list[tuple[str, int]] = [("#root", 0)]
+        self.open: Counter[str] = Counter()
         self.unseen = 0
         self.links = 0
         self.piece: list[str] = []
@@ -75,12 +87,17 @@ class _Builder(HTMLParser):
         if tag in INLINE:
             if tag == "a":
                 self.links += 1
-            self.stack.append((tag, self.stack[-1][1]))
+            self._push(tag, self.stack[-1][1])
+            return
+        if tag in UNSEEN:
+            # No node, and no end of the block around it.
+            self._push(tag, self.stack[-1][1])
+            self.unseen += 1
             return
         self.flush()
         if tag in CLOSES:
             self._close_open(CLOSES[tag], CONTAINERS[tag])
-        elif any(t == "p" for t, _ in self.stack[-8:]):
+        elif self.open["p"]:
             self._close_open(("p",), CONTAINERS["p"])
         names: set[str] = set()
         hidden = False
@@ -89,8 +106,11 @@ class _Builder(HTMLParser):
                 names.update(w.lower() for w in _WORD.findall(value))
             hidden |= name == "hidden" or (name == "style" and bool(value) and "display:none" in value.replace(" ", "").lower())
         self.nodes.append(Node(self.stack_block(), tag, frozenset(names), hidden=hidden))
-        self.stack.append((tag, len(self.nodes) - 1))
-        self.unseen += tag in UNSEEN
+        self._push(tag, len(self.nodes) - 1)
+
+    def _push(self, tag: str, node: int) -> None:
+        self.stack.append((tag, node))
+        self.open[tag] += 1
 
     def _close_open(self, tags: tuple[str, ...], containers: tuple[str, ...]) -> None:
         for depth in range(len(self.stack) - 1, 0, -1):
@@ -105,14 +125,15 @@ class _Builder(HTMLParser):
         for tag, _ in self.stack[depth:]:
             self.unseen -= tag in UNSEEN
             self.links -= tag == "a"
+            self.open[tag] -= 1
         del self.stack[depth:]
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in VOID:
+        if tag in VOID or not self.open[tag]:
             return
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.stack[depth][0] == tag:
-                if tag not in INLINE or any(t not in INLINE for t, _ in self.stack[depth:]):
+                if any(t not in INLINE and t not in UNSEEN for t, _ in self.stack[depth:]):
                     self.flush()
                 self._pop_to(depth)
                 return
@@ -123,14 +144,32 @@ class _Builder(HTMLParser):
             if self.links:
                 self.piece_links += len(data)
 
+    def parse_html_declaration(self, i: int) -> int:
+        """Comments as the library reads them; text in ``<![CDATA[`` of a formula or drawing; any other declaration is
+        nothing up to the next ``>``. -1: not ended."""
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        if self.rawdata.startswith("<![CDATA[", i) and (self.open["math"] or self.open["svg"]):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                self.handle_data(self.rawdata[i + 9 : end])
+            return end + 3 if end >= 0 else -1
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
+    def finish(self) -> None:
+        """Text that the library held back at the end of the page is text, an open tag, comment or declaration is not."""
+        if not _OPEN_MARKUP.match(self.rawdata):
+            self.close()
+        self.flush()
+
 
 def parse_page(html: str | None) -> list[Node]:
     """Nodes of a page in document order, parents before children; the root alone for null or empty pages."""
     builder = _Builder()
     if html:
         builder.feed(html)
-        builder.close()
-        builder.flush()
+        builder.finish()
     nodes = builder.nodes
     for i in range(len(nodes) - 1, 0, -1):
         node, parent = nodes[i], nodes[nodes[i].parent]
