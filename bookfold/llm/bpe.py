@@ -29,7 +29,7 @@ from bookfold.llm.common import arrow_rows, only
 from bookfold.llm.pieces import piece_text, pieces_of
 
 LONG_WORD = 256
-MEMO_PIECES = 150_000
+MEMO_PIECES = 400_000
 _ROWS = 256
 _NONE = 1 << 60
 #: Fixed value: the published pattern that parts a text into words.
