@@ -85,6 +85,7 @@ class Snapshots:
     def _newest_parts(self, log: DataFrame) -> DataFrame:
         if not folder_exists(self.spark, f"{self.path}/data"):
             return self.spark.createDataFrame([], self.schema)
+        # An empty first version is as good as none; Spark prunes at run time only where the other side is filtered.
         newest = log.filter("n_rows > 0 or number > 0").groupBy("part").agg(F.max(F.struct(*_NEWEST)).alias("newest"))
         newest = newest.select(F.col("part").alias(self.part_column), F.col("newest.folder").alias("version"))
         versioned = T.StructType([*self.schema, T.StructField("version", T.StringType())])
