@@ -411,6 +411,24 @@ def test_runs_count_by_themselves_where_joins_fail():
     assert substring_dedup.similar_stretches(text, text, 3, 46, 80, before=0) == []
 
 
+def test_pair_of_texts_on_many_diagonals():
+    """All diagonals of a pair together cover what each of them covers alone."""
+    rng = np.random.default_rng(7)
+    line = rng.integers(0, 1 << 31, 12)
+    rest = rng.integers(0, 1 << 31, 400)
+    a = np.concatenate([np.tile(line, 20), rest[:60], np.tile(line, 9), rest[60:200]])
+    b = np.concatenate([rest[200:], np.tile(line, 15), rest[:60]])
+    tries = [(a_at - b_at, a_at, a_at) for a_at in (3, 120, 305, 360) for b_at in (203, 215, 263, 330)] + [(-140, 245, 290)]
+    alone = np.zeros((2, len(a) + len(b)), bool)
+    together = alone.copy()
+    for one in tries:
+        for start, end, first, last in substring_dedup.pair_stretches(a, b, [one], 46, 80):
+            alone[0, start:end] = alone[1, first:last] = True
+    for start, end, first, last in substring_dedup.pair_stretches(a, b, tries, 46, 80):
+        together[0, start:end] = together[1, first:last] = True
+    assert alone.any() and (together == alone).all()
+
+
 def test_near_copies_with_insertions(spark):
     rng = random.Random(12)
     some = lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
