@@ -247,6 +247,28 @@ AUDIT_LOG_SCHEMA = _struct(
     ("error_message", T.StringType()),
 )
 
+#: What a run has been through, one row per event.
+RUN_EVENTS_SCHEMA = _struct(
+    ("run_id", T.StringType()),
+    ("status", T.StringType()),
+    ("happened_at", T.TimestampType()),
+    ("n_rows", T.LongType()),
+    ("error_message", T.StringType()),
+)
+
+#: Loaded rows that a build leaves out or reads in part.
+REJECTED_ROWS_SCHEMA = _struct(
+    ("run_id", T.StringType()),
+    ("target_month", T.StringType()),
+    ("source_kind", T.StringType()),
+    ("source_file_id", T.StringType()),
+    ("source_sheet_name", T.StringType()),
+    ("row_number", T.LongType()),
+    ("loaded_at", T.TimestampType()),
+    ("left_out", T.BooleanType()),
+    ("reasons", T.ArrayType(T.StringType())),
+)
+
 QUALITY_RESULTS_SCHEMA = _struct(
     ("run_id", T.StringType()),
     ("checked_at", T.TimestampType()),

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,7 +24,9 @@ from bookfold.schemas import (
     EXTRACTS,
     GENERIC_COLUMNS,
     QUALITY_RESULTS_SCHEMA,
+    REJECTED_ROWS_SCHEMA,
     ROW_IDENTITY,
+    RUN_EVENTS_SCHEMA,
     ingest_schema,
     raw_schema,
     source_schema,
@@ -35,7 +37,13 @@ from bookfold.sources.snapshots import Snapshots, folder_exists
 
 AUDIT_LOG = "pipeline_audit_log"
 QUALITY_RESULTS = "source_quality_results"
+RUN_EVENTS = "run_events"
+REJECTED_ROWS = "rejected_rows"
 BATCH_LEDGER = "batch_ledger"
+#: Logs that only grow: the day they are partitioned by, and the stamp it is taken from.
+_DATED = {AUDIT_LOG: ("started_date", "started_at"), RUN_EVENTS: ("happened_date", "happened_at")}
+#: Tables replaced run by run.
+_BY_RUN = (QUALITY_RESULTS, REJECTED_ROWS)
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("batch_id", T.StringType()),
@@ -58,6 +66,8 @@ class Layers:
             "raw_ingest": ingest_schema(generic_columns),
             AUDIT_LOG: AUDIT_LOG_SCHEMA,
             QUALITY_RESULTS: QUALITY_RESULTS_SCHEMA,
+            RUN_EVENTS: RUN_EVENTS_SCHEMA,
+            REJECTED_ROWS: REJECTED_ROWS_SCHEMA,
         }
         self._cluster = {
             "staging_ingest": ("source_file_name", "source_sheet_name"),
@@ -71,17 +81,17 @@ class Layers:
             self._cluster[extract.raw_table] = extract.cluster
 
     def path(self, table: str) -> str:
-        layer = "audit" if table in (AUDIT_LOG, QUALITY_RESULTS, BATCH_LEDGER) else table.split("_", 1)[0]
+        layer = "audit" if table in (*_DATED, *_BY_RUN, BATCH_LEDGER) else table.split("_", 1)[0]
         return f"{self.root}/{layer}/{table}"
 
     def partition_column(self, table: str) -> str:
-        return "target_month" if table in self._cluster else "started_date"
+        return "target_month" if table in self._cluster else _DATED[table][0]
 
     def snapshots(self, table: str) -> Snapshots | None:
         """The versions of a table that is replaced; None for one that is only appended to."""
-        if table in self._cluster or table == AUDIT_LOG:
+        if table in self._cluster or table in _DATED:
             return None
-        return Snapshots(self.spark, self.path(table), self._schemas[table], "run_id" if table == QUALITY_RESULTS else None)
+        return Snapshots(self.spark, self.path(table), self._schemas[table], "run_id" if table in _BY_RUN else None)
 
     def ensure(self) -> None:
         """Create every table that does not exist yet; existing ones are left alone."""
@@ -90,8 +100,9 @@ class Layers:
                 versions.ensure()
                 continue
             empty = self.spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-            if table == AUDIT_LOG:
-                empty = empty.withColumn("started_date", F.to_date("started_at"))
+            if table in _DATED:
+                day, stamp = _DATED[table]
+                empty = empty.withColumn(day, F.to_date(stamp))
             empty.write.mode("ignore").partitionBy(self.partition_column(table)).parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
@@ -186,11 +197,32 @@ class Layers:
         return log.filter(F.col("started_date") == F.to_date(F.lit(started_at))).drop("started_date")
 
     def append_audit(self, rows: DataFrame) -> None:
-        log = rows.select(AUDIT_LOG_SCHEMA.fieldNames()).withColumn("started_date", F.to_date("started_at"))
-        log.write.mode("append").partitionBy("started_date").parquet(self.path(AUDIT_LOG))
+        self._append_dated(AUDIT_LOG, rows)
+
+    def append_event(self, run_id: str, status: str, n_rows: int = 0, error_message: str = "") -> None:
+        event = (run_id, status, datetime.now(timezone.utc), n_rows, error_message)
+        self._append_dated(RUN_EVENTS, self.spark.createDataFrame([event], RUN_EVENTS_SCHEMA).coalesce(1))
+
+    def _append_dated(self, table: str, rows: DataFrame) -> None:
+        day, stamp = _DATED[table]
+        log = rows.select(self._schemas[table].fieldNames()).withColumn(day, F.to_date(stamp))
+        log.write.mode("append").partitionBy(day).parquet(self.path(table))
+
+    def read_events(self, since: date | None = None) -> DataFrame:
+        """Events of the runs, from a day on if asked; earlier days are pruned."""
+        dated = T.StructType([*RUN_EVENTS_SCHEMA, T.StructField("happened_date", T.DateType())])
+        events = self.spark.read.schema(dated).parquet(self.path(RUN_EVENTS))
+        return (events if since is None else events.filter(F.col("happened_date") >= F.lit(since))).drop("happened_date")
 
     def replace_run(self, run_id: str, results: DataFrame) -> None:
         """Quality results of one run, replacing earlier results of that run, also by none at all."""
+        self._replace_run(QUALITY_RESULTS, run_id, results.coalesce(1))
+
+    def replace_rejected(self, run_id: str, rows: DataFrame) -> int:
+        """Rejected rows of one run, as ``replace_run``; any number of them, in as many files as tasks. The number of rows."""
+        return self._replace_run(REJECTED_ROWS, run_id, rows)
+
+    def _replace_run(self, table: str, run_id: str, rows: DataFrame) -> int:
         if not _RUN_ID.fullmatch(run_id):
             raise ValueError(f"run id cannot name a partition: {run_id!r}")
-        self.snapshots(QUALITY_RESULTS).replace(results.coalesce(1), run_id)
+        return self.snapshots(table).replace(rows, run_id)

@@ -1,13 +1,14 @@
 """The whole run on generated files: load, refine, check, audit, reload."""
 
 import os
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from bookfold.plans.monthly_run import ExtractError, QualityGateError, run_refinery
+from bookfold.plans.monthly_run import PATIENCE_SECONDS, ExtractError, QualityGateError, run_refinery, run_states
 from bookfold.showcase.make_files import html_bytes, xlsx_bytes
-from bookfold.sources.layers import AUDIT_LOG, QUALITY_RESULTS, Layers
+from bookfold.sources.layers import AUDIT_LOG, QUALITY_RESULTS, REJECTED_ROWS, Layers
 from bookfold.sources.landing import SourceFileError
 
 PM = "【商品マスタ】report1751950998814.xls"
@@ -117,6 +118,15 @@ def test_month_end_to_end(spark, folder):
         ("LOADED", "product_master", 6, 1),
         ("SUCCESS", None, 25, 16),
     ]
+    rejected = layers.read(REJECTED_ROWS)
+    assert rows(rejected, "source_kind", "row_number", "left_out", "reasons") == [
+        ("ep_statement_detail", 4, True, ["electronic_publication_code is blank"]),
+        ("monthly_product_sales", 6, False, ["sales_quantity is no int: 12.0"]),
+        ("product_master", 2, True, ["title is blank"]),
+        ("product_master", 3, False, ["price is no money: abc"]),
+    ]
+    assert {(r["run_id"], r["target_month"]) for r in rejected.collect()} == {("r1", "202506")}
+    assert rows(run_states(layers), "run_id", "status", "n_events", "n_rows", "error_message") == [("r1", "SUCCESS", 3, 25, None)]
     payload = layers.read("raw_ingest").filter(F.col("source_file_name") == EP).orderBy("row_number").first()
     assert payload["row_payload_json"] == '["帳票", "", "", "", "", "", "", "", ""]'
     assert (payload["col_001"], payload["col_002"], payload["col_040"]) == ("帳票", "", "")
@@ -135,6 +145,8 @@ def test_reload_is_idempotent_and_rerun_replaces_its_findings(spark, folder):
     assert rows(layers.read("source_monthly_product_sales"), *business) == before
     assert layers.read(QUALITY_RESULTS).count() == 2
     assert layers.read("raw_product_master").count() == 6
+    # Only the rows of the run's last load, under the run that was repeated.
+    assert rows(layers.read(REJECTED_ROWS), "run_id") == [("a",)] * 4
 
     write_landing(folder, pm=blank_title, ms=blank_code)
     stats = run_refinery(spark, landing, root, target_month="202506", fail_on_quality_errors=False, run_id="b")
@@ -168,6 +180,17 @@ def test_gate_and_failed_runs_leave_an_audit_row(spark, folder):
     assert set(failed) == {"gate", "header", "empty", "blank", "missing"}
     assert failed["gate"]["source_quality_error_count"] == 3
     assert failed["missing"]["target_month"] is None and failed["missing"]["error_count"] == 1
+    layers = Layers(spark, root)
+    # The driver of this run was lost after its load.
+    layers.append_event("cut", "RUNNING")
+    layers.append_event("cut", "LOADED", 5)
+    assert rows(run_states(layers).filter("run_id = 'cut'"), "status", "n_events", "n_rows") == [("LOADED", 2, 5)]
+    later = datetime.now(timezone.utc) + timedelta(seconds=PATIENCE_SECONDS + 60)
+    states = {r["run_id"]: r for r in run_states(layers, later).collect()}
+    assert {k: r["status"] for k, r in states.items()} == {**dict.fromkeys(failed, "FAILED"), "cut": "LOST"}
+    assert states["gate"]["n_events"] == 3 and states["missing"]["n_events"] == 2
+    assert states["gate"]["error_message"] == "quality checks found 3 errors"
+    assert layers.read_events(later.date() + timedelta(days=1)).count() == 0
     # Kinds before the bad file were loaded.
     assert rows(log.filter("run_id = 'header' AND status = 'LOADED'"), "source_kind") == [
         ("author_conditions",),
