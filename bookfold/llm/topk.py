@@ -12,7 +12,8 @@ query, and a window with a map-side limit merges them.
 
 Components become floor(scale * x) as integers. Vectors that are null, empty, hold null or non-finite components, or
 components so large that a score would not fit a long, take no part; nor do rows without an id. Shorter vectors count
-as padded with zeros. Ties go to the smaller id; rows of equal id are candidates each on its own, except for the query
+as padded with zeros. Query rows that share an id and differ in vector each get their own k results; equal ones get them
+once. Ties go to the smaller id; rows of equal id are candidates each on its own, except for the query
 itself (all rows of the query's id are left out). With fewer candidates than k, all are returned. An empty table
 gives no rows.
 """
@@ -117,7 +118,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
                     reached = [(s[-1] if len(s := score[at == i]) >= k else -np.inf) for i in range(len(q))]
                     yield pd.DataFrame({"q": [cell.q], "floors": [np.array(reached, np.float64)]})
                 else:
-                    yield pd.DataFrame({"query_id": q_ids[at], "vec_id": r_ids[row], "score": score})
+                    yield pd.DataFrame({"q": cell.q, "at": at, "query_id": q_ids[at], "vec_id": r_ids[row], "score": score})
 
     home = q_blocks.withColumn("r", F.col("q") % n_r).repartition(n_q, "q").join(r_blocks, "r")
     floors = home.mapInPandas(lambda frames: cells(frames, True), "q int, floors array<double>")
@@ -125,6 +126,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     none = F.transform("q_ids", lambda _: F.lit(float("-inf")))
     asked = q_blocks.join(floors, "q", "left").withColumn("floors", F.coalesce("floors", none))
     grid = asked.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(n_r - 1)))).repartition(max(1, n_q * n_r), "q", "r")
-    scored = grid.join(r_blocks, "r").mapInPandas(lambda frames: cells(frames, False), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    scored = grid.join(r_blocks, "r").mapInPandas(lambda frames: cells(frames, False), "q int, at int, query_id long, vec_id long, score long")
+    # By block and place: query rows that share an id and differ in vector are queries of their own.
+    rank = F.row_number().over(Window.partitionBy("q", "at").orderBy(F.desc("score"), "vec_id"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
