@@ -85,8 +85,8 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    cleaned = line_dedup.drop_boilerplate_lines(docs, LINE_RATIO, LINE_MIN_PAGES)
-    return cleaned.select("doc_id", F.col("__dropped").cast("long").alias("n_dropped"), "text")
+    cleaned = line_dedup.drop_boilerplate_lines(docs, LINE_RATIO, LINE_MIN_PAGES, dropped="n_dropped")
+    return cleaned.select("doc_id", F.col("n_dropped").cast("long").alias("n_dropped"), "text")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +197,7 @@ ORACLE: dict[str, str] = {
         ), totals AS (SELECT source, count(*) AS total FROM documents GROUP BY source
         ), frequent AS (
             SELECT source, bare FROM (SELECT source, bare, count(DISTINCT doc_id) AS pages FROM split_lines WHERE bare <> '' GROUP BY source, bare)
-            JOIN totals USING (source) WHERE total >= {LINE_MIN_PAGES} AND pages > {LINE_RATIO} * total
+            JOIN totals USING (source) WHERE pages >= {LINE_MIN_PAGES} AND pages > {LINE_RATIO} * total
         ), marked AS (
             SELECT s.*, f.bare IS NOT NULL AS dropped FROM split_lines s LEFT JOIN frequent f ON s.source = f.source AND s.bare = f.bare
         )

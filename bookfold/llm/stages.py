@@ -19,8 +19,8 @@ from bookfold.llm.packing import pack_documents
 from bookfold.llm.quality import keep_good, train_quality
 from bookfold.llm.substring_dedup import repeated_passages
 
-#: Lines on more than this share of a host's pages are boilerplate, for hosts of so many pages at least.
-LINE_RATIO, LINE_MIN_PAGES = 0.1, 20
+#: Lines on more than this share of a host's pages, and on so many of them at least, are boilerplate.
+LINE_RATIO, LINE_MIN_PAGES = 0.1, 3
 _SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -38,7 +38,7 @@ def drop_poor_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line dedup: each host's boilerplate lines go from its documents."""
-    return _recounted(drop_boilerplate_lines(docs, LINE_RATIO, LINE_MIN_PAGES).drop("__dropped"))
+    return _recounted(drop_boilerplate_lines(docs, LINE_RATIO, LINE_MIN_PAGES))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

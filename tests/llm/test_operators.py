@@ -352,18 +352,36 @@ def test_top_k_edge_cases(spark):
     usable = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in vectors if i in (0, 20, 6, 7, 9)]
     assert found == brute_top_k(usable, [r for r in usable if r[0] % 20 == 0], 3)
     assert topk.top_k(empty(spark, "embeddings"), F.col("id") % 20 == 0).count() == 0
+    # Two query rows of one id, a repeated one, and candidates.
+    rows = [(20, [64, 0]), (20, [0, 64]), (20, [0, 64]), (1, [64, 64]), (2, [128, 0]), (3, [0, 192])]
+    frame = spark.createDataFrame([(i, [x / 64 for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    found = sorted(tuple(r) for r in topk.top_k(frame, F.col("id") == 20, k=2).collect())
+    assert found == brute_top_k(rows, rows[:2], 2)
 
 
 def test_line_dedup_edge_cases(spark):
     rows = [(i, "s", f"banner \nline {i}\n\nbanner") for i in range(30)] + [(30, "t", "banner"), (31, None, None), (32, None, "banner"), (33, "s", ""), (33, "s", "")]
-    frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, source string, text string, `line` int")
-    found = line_dedup.drop_boilerplate_lines(frame, ratio=0.5, min_pages=20).collect()
-    assert len(found) == len(rows) and found[0].asDict().keys() == {"doc_id", "source", "text", "line", "__dropped"}
-    texts = {r["doc_id"]: (r["text"], r["__dropped"]) for r in found}
+    # Columns that are named like the operator's own come back as they were.
+    frame = spark.createDataFrame([(*r, 1, "h", "k", [7]) for r in rows], "doc_id long, source string, text string, `line` int, host_key string, kept string, lines array<int>")
+    found = line_dedup.drop_boilerplate_lines(frame, ratio=0.5, min_pages=3, dropped="gone").collect()
+    assert len(found) == len(rows) and list(found[0].asDict()) == [*frame.columns, "gone"]
+    assert {(r["host_key"], r["kept"], *r["lines"]) for r in found} == {("h", "k", 7)}
+    assert line_dedup.drop_boilerplate_lines(frame).columns == frame.columns
+    texts = {r["doc_id"]: (r["text"], r["gone"]) for r in found}
     assert texts[4] == ("line 4\n", 2) and texts[30] == ("banner", 0) and texts[31] == (None, 0) and texts[32] == ("banner", 0) and texts[33] == ("", 0)
     assert line_dedup.drop_boilerplate_lines(empty(spark, "documents")).count() == 0
 
 
+def test_lines_of_small_and_hot_hosts(spark):
+    """One rule for hosts of any size; a host with most rows is not gathered: the join is a broadcast, or split."""
+    rows = [("small", f"banner\nown {i}") for i in range(4)] + [("pair", "twice\nx"), ("pair", "twice\ny")] + [("hot", f"top\nbody {i}") for i in range(300)]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, source string, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate_lines(frame, ratio=0.1).collect()}
+    assert found[0] == "own 0" and found[4] == "twice\nx" and found[6] == "body 0" and found[305] == "body 299"
+    plan = line_dedup.drop_boilerplate_lines(frame, ratio=0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Aggregate" not in plan and "Generate" not in plan
+
+
 def test_compact_windows_part_all_stretches():
     rng = np.random.default_rng(9)
     for values in (rng.integers(0, 5, 40), rng.integers(0, 1000, 60), np.zeros(30, int)):
