@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookfold.llm.common import only
+from bookfold.llm.common import only, stored
 
 ALLOW, BLOCK = "allow", "block"
 _TOKEN_SPLIT = "[^a-z0-9]+"
@@ -125,9 +125,14 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule], id_column: str = "pag
     fetched = url_tokens.join(filed, "token")
     fitting = fetched.filter(F.expr("concat(host, path) rlike pattern"))
     # The highest priority wins; of equals, blocking and then the first name.
-    order = F.struct("priority", (F.col("decides") == BLOCK).alias("blocks"), F.hash("name").alias("tie"))
-    best = fitting.groupBy("host", "path").agg(F.max_by(F.struct("name", "decides", "explicit"), order).alias("best"))
-    judged = rows.join(best, ["host", "path"], "left")
+    order = F.struct((-F.col("priority")).alias("last"), (F.col("decides") != BLOCK).alias("allows"), "name")
+    best = fitting.groupBy("host", "path").agg(F.min_by(F.struct("name", "decides", "explicit"), order).alias("best"))
+    # Written out, so that the join has a plain shuffle on both sides and AQE splits a URL that many rows repeat. Never
+    # broadcast: it grows with the pages, and its files are many times smaller than its rows. Rows without a host,
+    # however many, need no join.
+    best = stored(best, "judged-urls").hint("merge")
+    hosted = rows.filter(F.col("host") != "").join(best, ["host", "path"], "left")
+    judged = hosted.unionByName(rows.filter(F.col("host") == "").withColumn("best", F.lit(None).cast(best.schema["best"].dataType)))
     return judged.select(
         "page_id",
         "url",
