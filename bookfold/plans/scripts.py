@@ -1,10 +1,15 @@
-"""A build and its checks as Spark SQL scripts: variables are declared, values and table names are bound parameters."""
+"""A build and its checks as Spark SQL scripts: variables are declared, values and table names are bound parameters.
+
+What a script selects comes back through the driver, so a script that builds a table writes it, and only counts are selected.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bookfold.functions.cleanse import DATE_PATTERN, MONEY_NOISE, WHITE_SPACE
+from bookfold.schemas import source_schema
+from bookfold.session import shared_folder
 
 #: The product master of one month: rows without a key go, then the newest load of each row stays, then cells get types.
 BUILD_MASTER = r"""
@@ -13,6 +18,7 @@ BEGIN
   DECLARE v_space STRING DEFAULT :space;
   DECLARE v_noise STRING DEFAULT :money_noise;
   DECLARE v_date STRING DEFAULT :date_pattern;
+  INSERT OVERWRITE DIRECTORY USING parquet OPTIONS (path :folder)
   SELECT
     target_month, row_number,
     nullif(btrim(product_code, v_space), '') AS product_code,
@@ -57,9 +63,11 @@ END
 
 
 def build_master(spark: SparkSession, raw_table: str, target_month: str) -> DataFrame:
-    """``raw_table``: name of a table or view."""
+    """``raw_table``: name of a table or view. The script writes the master to the shared folder, from which it is read."""
+    folder = shared_folder(spark, "scripted")
     fixed = {"space": WHITE_SPACE, "money_noise": MONEY_NOISE, "date_pattern": DATE_PATTERN}
-    return spark.sql(BUILD_MASTER, args={"target_month": target_month, "raw_table": raw_table, **fixed})
+    spark.sql(BUILD_MASTER, args={"target_month": target_month, "raw_table": raw_table, "folder": folder, **fixed})
+    return spark.read.schema(source_schema("product_master")).parquet(folder)
 
 
 def check_master(spark: SparkSession, source_table: str, target_month: str) -> DataFrame:

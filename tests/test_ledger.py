@@ -86,6 +86,15 @@ def test_scripts_take_parameters(spark):
     assert sorted(scripts.check_master(spark, "test_master", "190001").collect())[-1].error_count == 1
 
 
+def test_scripted_rows_stay_off_the_driver(spark):
+    raw_rows(spark, {"product_code": "P1", "title": "t"}).createOrReplaceTempView("test_raw")
+    for month in ("202506", "190001"):
+        built = scripts.build_master(spark, "test_raw", month)
+        plan = built._jdf.queryExecution().executedPlan().toString()
+        assert "LocalTableScan" not in plan and "Scan parquet" in plan
+        assert built.count() == (month == "202506")
+
+
 def test_bucketed_joins_do_not_shuffle(spark, folder):
     facts = spark.range(0, 5000, 1, 8).select((F.col("id") % 300).alias("k"), F.col("id").alias("v"))
     master = spark.range(0, 200).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
