@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bookfold.functions.cleanse import blank_to_null, refine
+from bookfold.functions.cleanse import has_text, refine
 from bookfold.schemas import EXTRACTS, ROW_IDENTITY
 
 #: Events of a run in the order they can follow each other at one instant.
@@ -34,13 +33,16 @@ def rejected_rows(kind: str, raw: DataFrame, target_month: str) -> DataFrame:
     """Rows of a raw month that a build leaves out or reads in part: identity, loaded_at, whether it is left out, and
     the reasons, one for each key field that is blank and each number or date that cannot be read."""
     extract = EXTRACTS[kind]
-    blank = [F.when(blank_to_null(k).isNull(), F.lit(f"{k} is blank")) for k in extract.key_fields]
+    blank = [F.when(~has_text(k), F.lit(f"{k} is blank")) for k in extract.key_fields]
     unread = [
-        F.when(blank_to_null(f.name).isNotNull() & refine(f.name, f.refined_type).isNull(), F.concat(F.lit(f"{f.name} is no {f.refined_type}: "), F.col(f.name)))
+        F.when(refine(f.name, f.refined_type).isNull() & has_text(f.name), F.concat(F.lit(f"{f.name} is no {f.refined_type}: "), F.col(f.name)))
         for f in extract.fields
         if f.refined_type != "text"
     ]
     rows = raw.filter(F.col("target_month") == target_month)
-    left_out = reduce(lambda a, b: a | b, [reason.isNotNull() for reason in blank])
-    reasoned = rows.select(F.lit(kind).alias("source_kind"), *ROW_IDENTITY, "loaded_at", left_out.alias("left_out"), F.array_compact(F.array(*blank, *unread)).alias("reasons"))
-    return reasoned.filter(F.size("reasons") > 0)
+    # A list of one: no filter on the reasons moves below a generator, where they would be made once more, and in a scan's few tasks.
+    told = F.explode_outer(F.array(F.struct(F.array_compact(F.array(*blank)).alias("blank"), F.array_compact(F.array(*unread)).alias("unread"))))
+    reasoned = rows.select(F.lit(kind).alias("source_kind"), *ROW_IDENTITY, "loaded_at", told.alias("told"))
+    return reasoned.filter((F.size("told.blank") > 0) | (F.size("told.unread") > 0)).select(
+        "source_kind", *ROW_IDENTITY, "loaded_at", (F.size("told.blank") > 0).alias("left_out"), F.concat("told.blank", "told.unread").alias("reasons")
+    )
