@@ -108,13 +108,16 @@ _HTML_CELLS = " UNION ALL ".join(
 )
 
 
+_HTML_PER_TASK = 100_000
+
+
 def _joined_cells(cells: DataFrame) -> DataFrame:
     return cells.select("file_id", "sheet_name", "row_number", F.array_join("values", "|").alias("cells"))
 
 
 @query(_HTML_CELLS)
 def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = derived(spark, sf_dir, _HTML).select(
+    files = derived(spark, sf_dir, _HTML, _HTML_PER_TASK).select(
         F.lit("product_master").alias("source_kind"),
         "file_id",
         F.concat("file_id", F.lit(".xls")).alias("file_name"),
@@ -149,8 +152,12 @@ _XLSX_CELLS = " UNION ALL ".join(
 )
 
 
+#: Making and reading a workbook takes milliseconds.
+_WORKBOOKS_PER_TASK = 20_000
+
+
 def _workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spread(table(spark, sf_dir, "customer"))
+    customers = spread(table(spark, sf_dir, "customer"), _WORKBOOKS_PER_TASK)
     book = _customer_workbook("c_custkey", "c_name", "c_mktsegment", F.expr(_WHOLE_BALANCE))
     return customers.select(
         F.lit("monthly_product_sales").alias("source_kind"),
