@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from bookfold.functions.cleanse import money, whole_number
@@ -81,3 +82,21 @@ def test_plain_html_reads_as_by_the_full_parser(text):
     full.feed(text)
     full.close()
     assert _plain_tables(text) == (full.tables if text in PLAIN else None)
+
+
+def test_a_batch_is_sorted_once(spark, folder, monkeypatch):
+    plans = []
+    plain = DataFrameWriter.parquet
+
+    def noted(writer, path, *args, **kwargs):
+        plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    layers = stored.Layers(spark, folder)
+    rows = raw_rows(spark, "product_master", 50, target_month=F.when(F.col("id") % 2 == 0, "202505").otherwise("202506"))
+    assert layers.append("raw_product_master", rows.repartition(3), "b", [("f", "")]) == 50
+    # The writer sorts by the partition columns what does not come sorted so, and holds all rows of the task twice.
+    assert plans[0].startswith("Sort ") and plans[0].count("Sort ") == 1
+    assert layers.read_month("raw_product_master", "202505").count() == 25
+    assert sorted((r.source_file_id or "", r.n_rows) for r in layers.landed(["raw_product_master"]).collect()) == [("", 50), ("f", 50)]
