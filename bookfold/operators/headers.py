@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookfold.functions.cleanse import cell_at, pad_cells, payload_json
-from bookfold.functions.labels import label_key, label_keys
+from bookfold.functions.labels import label_key, label_keys, may_be_label
 from bookfold.schemas import EXTRACTS, GENERIC_COLUMNS, HEADER_SEARCH_ROWS, Extract, generic_column
 
 SHEET = ("file_id", "sheet_name")
@@ -58,10 +58,13 @@ def header_candidates(rows: DataFrame, extracts: Mapping[str, Extract] = EXTRACT
     """Rows near the top of a sheet that hold a known label, with the first column of each field found.
 
     The label table is fixed (one row per label of the layouts), so broadcasting it is safe. Only the
-    few cells that are labels are shuffled, once: both groupings share the sheet partitioning.
+    few cells that are labels are shuffled, once: both groupings share the sheet partitioning. Keys are made in Python, so rows
+    and cells that cannot hold a label are left out before.
     """
-    head = rows.filter(F.col("row_number") <= HEADER_SEARCH_ROWS)
-    keyed = head.select("source_kind", *SHEET, "row_number", label_keys("values").alias("keys"))
+    pattern = may_be_label(label_key(label) for e in extracts.values() for f in e.fields for label in f.labels)
+    head = rows.filter(F.col("row_number") <= HEADER_SEARCH_ROWS).filter(F.exists("values", lambda v: v.rlike(pattern)))
+    possible = F.transform("values", lambda v: F.when(v.rlike(pattern), v))
+    keyed = head.select("source_kind", *SHEET, "row_number", label_keys(possible).alias("keys"))
     # The outer form keeps Spark from adding a not-empty filter that would run the label function twice.
     cells = keyed.select("source_kind", *SHEET, "row_number", F.posexplode_outer("keys").alias("position", "key"))
     hits = cells.join(F.broadcast(known_labels(rows.sparkSession, extracts)), ["source_kind", "key"])
