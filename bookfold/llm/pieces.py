@@ -12,13 +12,19 @@ _OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u20
 BARE = "\0"
 
 
-def pieces_of(text: str) -> list[str] | None:
-    """The pieces in order: after BARE as they are, others after one space. None if the text must stay whole."""
+def marked_pieces(text: str) -> str | None:
+    """The pieces in order, one space between any two: after BARE as they are, others after one space. None if the text must
+    stay whole."""
     if "  " in text or " \n" in text or text[-1:] == " " or any(c in text for c in _OTHER_SPACE):
         return None
     if "\n\n" not in text:
         text = text.replace("\n", " \0\n \0")
-    return (BARE + text).split(" ")
+    return BARE + text
+
+
+def pieces_of(text: str) -> list[str] | None:
+    marked = marked_pieces(text)
+    return None if marked is None else marked.split(" ")
 
 
 def piece_text(piece: str) -> str:
