@@ -33,25 +33,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bookfold.llm.common import arrow_rows, only
-from bookfold.llm.pieces import BARE, marked_pieces, piece_text
+from bookfold.llm.common import arrow_rows, only, text_slices
+from bookfold.llm.pieces import BARE, PieceMemory, piece_text
 
 SEGMENT_IDS = 2_000_000
 MEMO_PIECES = 400_000
 #: Index rows up to which the index is broadcast (32 bytes each); beyond, it is joined by a shuffle.
 BROADCAST_SEGMENTS = 200_000
 _SAMPLE = 64
-_TOGETHER = 256
+#: Pieces that go to the library as one text, and texts of one call.
+_TOGETHER = 64
+_CALL = 64
 #: Rows and bytes of text that are encoded at once.
 _ROWS = 2048
 _BYTES = 4 << 20
-#: Marks that the word pattern parts from a letter before them.
-_TAILS = ",."
 _SEGMENT = "part int, seq int, doc_ids array<{kind}>, n_ids long, id_bytes int, ids binary, low_bits int, low binary, high binary, samples binary"
 
 
@@ -99,14 +98,8 @@ class EliasFano:
         return (high << self.low_bits) + low.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
 
-class PieceEncoder:
-    """The library's encoder with a memory of pieces: a text is parted at spaces that stand alone, which no token crosses.
-    Arrow finds the distinct pieces of many texts, each of which is looked up once; a comma or full stop after a letter is a
-    word of its own and is remembered apart.
-
-    The memory has two generations of at most MEMO_PIECES pieces; what the young one lacks is taken from the old one,
-    so that pieces in use survive when the old one goes.
-    """
+class PieceEncoder(PieceMemory):
+    """The library's encoder with a memory of pieces: a text is parted at spaces that stand alone, which no token crosses."""
 
     def __init__(self, content: str, kind: np.dtype):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
@@ -115,97 +108,46 @@ class PieceEncoder:
         self._library = Tokenizer.from_str(content)
         self._library.no_truncation()
         self._library.no_padding()
-        self._kind = kind
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         size = self._library.get_vocab_size(with_added_tokens=True)
         # Byte-level vocabularies write a space as U+0120.
         self._begins = np.array([(self._library.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-        self._tails = {mark: ids.tobytes() for mark, ids in zip(_TAILS, self._ids(list(_TAILS)))}
+        super().__init__(kind, MEMO_PIECES)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self._kind) for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encodes pieces that follow a space. Those without white space go many to a text: each begins with the one
-        token of theirs that begins with a space."""
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self._ids(texts)]
+
+    def _has_special(self, text: str) -> bool:
+        return any(s in text for s in self._special)
+
+    def _coded(self, pieces: list[str]) -> list[bytes]:
+        """Pieces that follow a space and have no white space go many to a text: each begins with the one token of theirs
+        that begins with a space."""
+        found: dict[str, bytes] = {}
         after_space = [p for p in pieces if p[:1] != BARE and "\n" not in p and p]
-        for at in range(0, len(after_space), _TOGETHER):
-            some = after_space[at : at + _TOGETHER]
-            (ids,) = self._ids([" " + " ".join(some)])
-            starts = np.flatnonzero(self._begins[ids])
-            if len(starts) == len(some):
-                data, width = ids.tobytes(), self._kind.itemsize
-                cuts = [*(starts * width).tolist(), len(data)]
-                self._young.update({p: data[a:b] for p, a, b in zip(some, cuts, cuts[1:])})
-        single = [p for p in pieces if p not in self._young]
-        self._young.update(zip(single, (i.tobytes() for i in self._ids([piece_text(p) for p in single]))))
-
-    def _known(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each of the distinct pieces."""
-        if len(self._young) > MEMO_PIECES:
-            self._old, self._young = self._young, {}
-        young, old, tails = self._young, self._old, self._tails
-        ids = list(map(young.get, pieces))
-        later, new = [], []
-        for at, held in enumerate(ids):
-            if held is not None:
-                continue
-            piece = pieces[at]
-            tail = tails.get(piece[-1:], b"")
-            # Letters as every Unicode version has them.
-            if tail and piece[-2:-1] < "\u0250" and piece[-2:-1].isalpha():
-                piece = piece[:-1]
-            else:
-                tail = b""
-            later.append((at, piece, tail))
-            if piece not in young:
-                if piece in old:
-                    young[piece] = old[piece]
-                else:
-                    new.append(piece)
-        self._learn(list(dict.fromkeys(new)))
-        for at, piece, tail in later:
-            ids[at] = young[piece] + tail
-        return ids
+        groups = [after_space[at : at + _TOGETHER] for at in range(0, len(after_space), _TOGETHER)]
+        for at in range(0, len(groups), _CALL):
+            some = groups[at : at + _CALL]
+            for group, ids in zip(some, self._ids([" " + " ".join(g) for g in some])):
+                starts = np.flatnonzero(self._begins[ids])
+                if len(starts) == len(group):
+                    data, width = ids.tobytes(), self._kind.itemsize
+                    cuts = [*(starts * width).tolist(), len(data)]
+                    found.update(zip(group, [data[a:b] for a, b in zip(cuts, cuts[1:])]))
+        single = [p for p in pieces if p not in found]
+        found.update(zip(single, self._whole([piece_text(p) for p in single])))
+        return list(map(found.__getitem__, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text as bytes."""
-        out: list[bytes] = [b""] * len(texts)
-        whole, parted, marked = [], [], []
-        for at, text in enumerate(texts):
-            if not text:
-                continue
-            pieces = None if any(s in text for s in self._special) else marked_pieces(text)
-            if pieces is None:
-                whole.append(at)
-            else:
-                parted.append(at)
-                marked.append(pieces)
-        if parted:
-            split = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
-            coded = split.flatten().dictionary_encode()
-            known = self._known(coded.dictionary.to_pylist())
-            held = pa.array(known, pa.large_binary()).take(coded.indices)
-            data = held.buffers()[2].to_pybytes()
-            cuts = np.frombuffer(held.buffers()[1], np.int64)[split.offsets.to_numpy()].tolist()
-            for at, start, end in zip(parted, cuts, cuts[1:]):
-                out[at] = data[start:end]
-        for at, ids in zip(whole, self._ids([texts[at] for at in whole])):
-            out[at] = ids.tobytes()
-        return out
+        return self.encode_many(texts)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``_ROWS`` rows and, unless one row is larger, ``_BYTES`` bytes of text."""
-    for batch in arrow_rows(batches, _ROWS):
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        start, done = 0, 0
-        while start < batch.num_rows:
-            stop = max(start + 1, int(np.searchsorted(ends, done + _BYTES, side="right")))
-            yield batch.slice(start, stop - start)
-            start, done = stop, int(ends[stop - 1])
+    return text_slices(batches, _ROWS, _BYTES)
 
 
 @lru_cache(maxsize=1)

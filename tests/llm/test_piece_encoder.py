@@ -31,3 +31,11 @@ def test_slices_are_bounded_by_bytes_of_text():
     half = "x" * (token_files._BYTES // 2)
     batch = pa.RecordBatch.from_pydict({"text": [half, half, None, "y", half * 3, "z"]})
     assert [s.num_rows for s in token_files._slices(iter([batch]))] == [3, 1, 1, 1]
+
+
+def test_a_mark_after_a_letter_is_parted_before_pieces_are_looked_up(monkeypatch):
+    encoder, looked_up = _encoder(), []
+    known = encoder._known
+    monkeypatch.setattr(encoder, "_known", lambda pieces: looked_up.extend(pieces) or known(pieces))
+    encoder.encode(["so word, word. word \u00e9t\u00e9, 1, !. \u00d7. , ."])
+    assert looked_up == ["\0so", "word", "\u00e9t\u00e9", "1,", "!.", "\u00d7.", ",", "."]
