@@ -11,26 +11,19 @@ from bookfold.showcase.frames import MONTH, RAW_SQL, raw_frame
 from bookfold.showcase.registry import query
 from bookfold.sources.layers import Layers
 
-#: Kinds whose frames have few files; in the others each order is a file.
-_COUNTED = ("product_master", "author_conditions")
-
 
 @query(
     " UNION ALL ".join(
-        f"SELECT '{EXTRACTS[kind].raw_table}' AS table_name, source_file_id, source_sheet_name, count(*) AS n_rows FROM ({RAW_SQL[kind]}) GROUP BY ALL "
-        f"UNION ALL SELECT '{EXTRACTS[kind].raw_table}', NULL, NULL, count(*) FROM ({RAW_SQL[kind]})"
-        for kind in _COUNTED
+        f"SELECT '{e.raw_table}' AS table_name, source_file_id, source_sheet_name, count(*) AS n_rows FROM ({RAW_SQL[kind]}) GROUP BY ALL "
+        f"UNION ALL SELECT '{e.raw_table}', NULL, NULL, count(*) FROM ({RAW_SQL[kind]})"
+        for kind, e in EXTRACTS.items()
     )
-    + " UNION ALL "
-    + " UNION ALL ".join(f"SELECT '{e.raw_table}', NULL, NULL, count(*) FROM ({RAW_SQL[kind]})" for kind, e in EXTRACTS.items() if kind not in _COUNTED)
 )
 def landed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each sheet and table as counted by the write; no table is read again."""
+    """Rows of each table as counted by the write, and of each sheet of all tables as found in the files it left."""
     layers = Layers(spark, shared_folder(spark, "loads"))
     for kind, extract in EXTRACTS.items():
-        rows = raw_frame(spark, sf_dir, kind)
-        sheets = rows.select("source_file_id", "source_sheet_name").distinct().collect() if kind in _COUNTED else []
-        layers.append(extract.raw_table, rows, "load-1", [tuple(s) for s in sheets])
+        layers.append(extract.raw_table, raw_frame(spark, sf_dir, kind), "load-1", sheets=None)
     return layers.landed([e.raw_table for e in EXTRACTS.values()]).select("table_name", "source_file_id", "source_sheet_name", "n_rows")
 
 
